@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import assert_columns
@@ -133,13 +133,10 @@ def corpus_stats(intensity: DataFrame, changes: DataFrame) -> DataFrame:
             "change_type_counts"
         )
     )
-    # Three aggregates without grouping: one row each, joined on a constant.
-    one = F.lit(1).alias("_k")
-    return (
-        filings.select("*", one)
-        .join(theme_count.select("*", one), "_k")
-        .join(types.select("*", one), "_k")
-        .drop("_k")
+    return filings.select(
+        "*",
+        theme_count.scalar().alias("total_themes"),
+        types.scalar().alias("change_type_counts"),
     )
 
 
