@@ -12,6 +12,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _WS = r"[\s\x1c-\x1f]"
 _NON_WS = r"[^\s\x1c-\x1f]"
@@ -66,7 +67,7 @@ def dehyphenate(text: Column) -> Column:
     return F.regexp_replace(text, rf"({_WORD}+)-\n({_WORD}+)", "$1$2")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _compatibility_decompose(text: pd.Series) -> pd.Series:
     return text.map(lambda value: unicodedata.normalize("NFKD", value), na_action="ignore")
 

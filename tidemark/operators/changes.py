@@ -12,6 +12,7 @@ from tidemark.session import cut_lineage
 CHANGE_KEY = ("cik", "cluster_id", "fiscal_year")
 DEFAULT_TOP = 500  # fixed value: how many ranked changes are explained
 MAX_TOP_FOR_LOCAL_RANK = 100_000
+TIE_DIGITS = 12
 
 
 def with_defaults(intensity: DataFrame) -> DataFrame:
@@ -98,8 +99,10 @@ def attach_drift(changes: DataFrame, centroid_drift: DataFrame | None) -> DataFr
 
 
 def _by_materiality():
-    # The key columns make the order total, so ranks are the same on every run.
-    return [F.col("materiality_score").desc_nulls_last(), *[F.col(c).asc() for c in CHANGE_KEY]]
+    # Scores equal up to floating-point noise are ties; the key columns then make the order
+    # total, so ranks are the same on every run and on every engine.
+    score = F.round("materiality_score", TIE_DIGITS)
+    return [score.desc_nulls_last(), *[F.col(c).asc() for c in CHANGE_KEY]]
 
 
 def rank_changes(changes: DataFrame, centroid_drift: DataFrame | None = None) -> DataFrame:
@@ -146,5 +149,6 @@ def top_changes(
     if n > MAX_TOP_FOR_LOCAL_RANK:
         return get_top_changes(rank_changes(changes, centroid_drift), n)
     best = changes.orderBy(*_by_materiality()).limit(n)
-    ranked = best.withColumn("rank", F.row_number().over(Window.orderBy(*_by_materiality())))
+    place = F.row_number().over(Window.orderBy(*_by_materiality()))
+    ranked = best.withColumn("rank", place.cast("long"))
     return attach_drift(ranked, centroid_drift)

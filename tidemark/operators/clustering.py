@@ -12,6 +12,7 @@ from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import text as X
 from tidemark.functions import vectors as V
@@ -113,7 +114,7 @@ def nearest_centroid_distance(
             _unit_rows(np.array([r["centroid"] for r in rows], dtype="float64"))
         )
 
-        @F.pandas_udf("double")
+        @F.pandas_udf(T.DoubleType())
         def nearest(vectors: pd.Series) -> pd.Series:
             return pd.Series(_closest(vectors, shared.value) if len(vectors) else [], dtype="float64")
 

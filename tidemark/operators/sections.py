@@ -14,6 +14,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import text as X
 from tidemark.schemas import assert_columns
@@ -124,7 +125,12 @@ def html_to_text(html: str) -> tuple[str, bool]:
     return collector.finish()
 
 
-@F.pandas_udf("full_text string, is_ixbrl boolean")
+_PARSED = T.StructType(
+    [T.StructField("full_text", T.StringType()), T.StructField("is_ixbrl", T.BooleanType())]
+)
+
+
+@F.pandas_udf(_PARSED)
 def _parse(html: pd.Series) -> pd.DataFrame:
     parsed = [html_to_text(h) if isinstance(h, str) else (None, None) for h in html]
     return pd.DataFrame(parsed, columns=["full_text", "is_ixbrl"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 from tidemark.functions.scoring import kept_and_noise_counts, per_unit
+from tidemark.operators.changes import TIE_DIGITS
 
 # Sort choices, category names, list lengths of the report pages.
 SORT_COLUMNS = {
@@ -175,7 +176,7 @@ def theme_network(changes: DataFrame, themes: DataFrame, companies: DataFrame) -
         F.col("fiscal_year"), F.col("change_type"), F.col("intensity_delta"),
         F.col("centroid_drift"), F.col("materiality_score"),
     )
-    order = F.struct(F.col("materiality_score"), -F.col("fiscal_year"))
+    order = F.struct(F.round("materiality_score", TIE_DIGITS), -F.col("fiscal_year"))
     edges = (
         changes.groupBy("cik", "cluster_id")
         .agg(F.max_by(figures, order).alias("m"))

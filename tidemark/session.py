@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,10 +46,20 @@ def local_session(cpus: int | None = None, memory: str = "8g", **conf: str) -> S
     return build_session(
         master=f"local[{cpus}]",
         shuffle_partitions=cpus,
-        **{"spark.driver.memory": memory, "spark.ui.enabled": "false", **conf},
+        **{"spark.driver.memory": memory, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **conf},
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per session."""
+    context = spark.sparkContext
+    if any(Path(f).name == "tidemark.zip" for f in context.listFiles):
+        return
+    package = Path(__file__).resolve().parent
+    base = Path(tempfile.mkdtemp(prefix="tidemark-package-")) / "tidemark"
+    context.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
+
+
 def _checkpoint_folder(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir():

@@ -29,6 +29,8 @@ THEME_NAMES = {
     7: "Software Outage",
 }
 MANUAL_LABELS = {1: "Foundry Supply (Reviewed)", 9: "Labour Market"}
+# Order of the event types; the position is the theme.
+EVENT_THEMES = ("click", "error", "purchase", "signup", "view")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -162,7 +164,7 @@ def nation_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(regions, "n_regionkey")
         .select(
             I.zero_fill(F.col("n_nationkey")).alias("cik"),
-            F.upper(F.left("n_name", F.lit(4))).alias("ticker"),
+            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("ticker"),
             F.col("n_name").alias("name"),
             "sector",
         )
@@ -185,3 +187,125 @@ def extraction_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(2016) + F.pmod(F.col("doc_id"), F.lit(8))).cast("int").alias("fiscal_year"),
         (F.col("quality") == 1).alias("success"),
     )
+
+
+def event_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as chunks: user = entity, ISO week = version, event type = theme."""
+    kinds = F.array(*[F.lit(k) for k in EVENT_THEMES])
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("chunk_id"),
+        I.zero_fill(F.col("user_id")).alias("cik"),
+        F.weekofyear("ts").alias("fiscal_year"),
+        F.col("event_id").cast("string").alias("accession_number"),
+        F.array_position(kinds, F.col("event_type")).cast("int").alias("cluster_id"),
+    )
+
+
+def order_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One submissions document per order: four filings, one of them without a usable date."""
+    day = F.to_date("o_orderdate")
+    key = F.lpad(F.col("o_orderkey").cast("string"), 10, "0")
+
+    def accession(tail: str) -> Column:
+        return F.concat(key, F.lit(f"-24-{tail}"))
+
+    def text(value: Column) -> Column:
+        return F.date_format(value, "yyyy-MM-dd")
+
+    first_form = F.when(F.col("o_orderstatus") == "F", F.lit("10-K")).otherwise(F.lit("10-Q"))
+    recent = F.struct(
+        F.array(*[accession(f"00000{n}") for n in (1, 2, 3, 4)]).alias("accessionNumber"),
+        F.array(first_form, F.lit("10-K"), F.lit("10-K/A"), F.lit("10-K/A")).alias("form"),
+        F.array(
+            text(day), text(F.add_months(day, 12)), text(F.add_months(day, 14)), F.lit("unknown")
+        ).alias("filingDate"),
+        F.array(*[text(F.date_sub(day, 60))] * 4).alias("reportDate"),
+        F.array(*[F.concat(F.col("o_orderpriority"), F.lit(".htm"))] * 4).alias("primaryDocument"),
+    )
+    document = F.struct(
+        F.col("o_custkey").cast("string").alias("cik"),
+        F.struct(recent.alias("recent")).alias("filings"),
+    )
+    return table(spark, sf_dir, "orders").select(F.to_json(document).alias("json"))
+
+
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One company-facts document per order: originals, an amendment, a quarter, a text value."""
+    year = F.year("o_orderdate")
+    price = F.col("o_totalprice")
+
+    def entry(value: Column, fy: Column, filed: str, accn: str, form: str, fp: str) -> Column:
+        return F.struct(
+            F.concat(fy.cast("string"), F.lit("-12-31")).alias("end"),
+            value.cast("string").alias("val"),
+            F.lit(accn).alias("accn"),
+            fy.alias("fy"),
+            F.lit(fp).alias("fp"),
+            F.lit(form).alias("form"),
+            F.concat(fy.cast("string"), F.lit(filed)).alias("filed"),
+        )
+
+    def units(name: str, *entries: Column) -> Column:
+        return F.struct(F.create_map(F.lit(name), F.array(*entries)).alias("units"))
+
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    revenue = F.when(urgent, F.lit("Revenues")).otherwise(
+        F.lit("RevenueFromContractWithCustomerExcludingAssessedTax")
+    )
+    open_value = F.when(F.col("o_orderstatus") == "O", F.lit("n/a")).otherwise(
+        price.cast("string")
+    )
+    gaap = F.create_map(
+        revenue,
+        units(
+            "USD",
+            entry(price, year, "-02-01", "a-1", "10-K", "FY"),
+            entry(price * 2, year, "-06-01", "a-2", "10-K/A", "FY"),
+            entry(price * 3, year, "-09-01", "a-3", "10-Q", "Q2"),
+            entry(price * 4, year + 1, "-02-01", "b-1", "10-K", "FY"),
+        ),
+        F.lit("Assets"),
+        units("USD", entry(open_value, year, "-02-01", "a-1", "10-K", "FY")),
+        F.lit("EarningsPerShareBasic"),
+        units("EUR", entry(price, year, "-02-01", "a-1", "10-K", "FY")),
+    )
+    dei = F.create_map(
+        F.lit("Liabilities"),
+        units("USD", entry(-price, year, "-02-01", "a-1", "10-K", "FY")),
+        F.lit("Assets"),
+        units("USD", entry(price * 5, year, "-12-01", "a-9", "10-K", "FY")),
+    )
+    document = F.struct(
+        F.col("o_orderkey").cast("string").alias("cik"),
+        F.create_map(F.lit("us-gaap"), gaap, F.lit("dei"), dei).alias("facts"),
+    )
+    return table(spark, sf_dir, "orders").select(F.to_json(document).alias("json"))
+
+
+def _escaped(text: Column) -> Column:
+    return F.replace(
+        F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+        F.lit(">"),
+        F.lit("&gt;"),
+    )
+
+
+def document_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents wrapped as filing HTML with a linked contents list, items 1A and 1B.
+
+    English documents carry inline XBRL; French ones lack the item 1A heading.
+    """
+    head = F.when(F.col("lang") == "en", F.lit("<ix:header>tagged</ix:header>")).otherwise(
+        F.lit("")
+    )
+    heading = F.when(F.col("lang") == "fr", F.lit("<h2>Discussion</h2>")).otherwise(
+        F.lit("<h2>Item&nbsp;1A. Risk Factors</h2>")
+    )
+    html = F.concat(
+        F.lit("<html><body>"), head,
+        F.lit('<p><a href="#i1a">Item 1A</a><a href="#i1b">Contents</a></p>'),
+        F.lit("<header>Item 1A. Risk Factors running head</header>"),
+        heading, F.lit("<p>"), _escaped(F.col("text")),
+        F.lit("</p><h2>Item 1B. Unresolved Staff Comments</h2><p>None.</p></body></html>"),
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", html.alias("html"))
