@@ -188,10 +188,41 @@ def clean_label(raw: Column) -> Column:
     return F.left(title_case(F.regexp_replace(bare, rf"(?U){_WS}+", " ")), F.lit(LABEL_LENGTH))
 
 
+def _scaled_integer(value: Column, factor: float) -> Column:
+    """``value * factor`` rounded to an integer, deciding ties on the exact binary value.
+
+    The rounded product hides on which side of a tie the exact one lies, so its rounding error
+    is recovered by splitting both factors (Dekker's product); a true tie goes to even.
+    """
+    split = 134217729.0  # 2**27 + 1
+    factor_high = split * factor - (split * factor - factor)
+    factor_low = factor - factor_high
+    scaled_up = value * split
+    high = scaled_up - (scaled_up - value)
+    low = value - high
+    product = value * factor
+    error = (
+        high * factor_high - product + high * factor_low + low * factor_high
+    ) + low * factor_low
+    floor = F.floor(product)
+    part = product - floor
+    up = (
+        (part > 0.5)
+        | ((part == 0.5) & (error > 0.0))
+        | ((part == 0.5) & (error == 0.0) & (floor % 2 == 1))
+    )
+    return floor + F.when(up, F.lit(1)).otherwise(F.lit(0))
+
+
 def fixed_point(value: Column, digits: int) -> Column:
-    """Fixed number of decimals, rounding the exact binary value half to even."""
-    pattern = "0." + "0" * digits
-    return F.call_function("format_number", value.cast("double"), F.lit(pattern))
+    """Fixed number of decimals, correctly rounded from the exact binary value."""
+    number = value.cast("double")
+    unit = 10**digits
+    scaled = _scaled_integer(F.abs(number), float(unit))
+    sign = F.when(number < 0, F.lit("-")).otherwise(F.lit(""))
+    whole = F.floor(scaled / unit).cast("string")
+    rest = F.lpad((scaled % unit).cast("string"), digits, "0")
+    return F.concat(sign, whole, F.lit("."), rest)
 
 
 def signed_fixed_point(value: Column, digits: int) -> Column:

@@ -416,22 +416,18 @@ def theme_clusters(spark, sf):
 # Text: TXT-1..16, AGG-14, SET-4, WIN-9, JOIN-19 ----------------------------------------------
 
 
-def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return A.table(spark, sf, "documents")
-
-
 @query
 def normalized_whitespace(spark, sf):
     spaced = F.replace(
         F.replace(F.col("text"), F.lit(", "), F.lit(",\t  ")), F.lit("\n"), F.lit("\n \t\n\n")
     )
-    return _documents(spark, sf).select("doc_id", X.normalize_whitespace(spaced).alias("text"))
+    return A.documents(spark, sf).select("doc_id", X.normalize_whitespace(spaced).alias("text"))
 
 
 @query
 def dehyphenated_text(spark, sf):
     broken = F.replace(F.col("text"), F.lit("e "), F.lit("e-\n"))
-    return _documents(spark, sf).select("doc_id", X.dehyphenate(broken).alias("text"))
+    return A.documents(spark, sf).select("doc_id", X.dehyphenate(broken).alias("text"))
 
 
 def _with_page_lines(text: Column) -> Column:
@@ -445,19 +441,19 @@ def _with_page_lines(text: Column) -> Column:
 @query
 def page_lines_removed(spark, sf):
     paged = _with_page_lines(F.col("text"))
-    return _documents(spark, sf).select("doc_id", X.remove_page_lines(paged).alias("text"))
+    return A.documents(spark, sf).select("doc_id", X.remove_page_lines(paged).alias("text"))
 
 
 @query
 def cleaned_text(spark, sf):
     raw = F.concat(_with_page_lines(F.col("text")), F.lit("\u0007 end-\nline  ①"))
-    return _documents(spark, sf).select("doc_id", X.clean_text(raw).alias("text"))
+    return A.documents(spark, sf).select("doc_id", X.clean_text(raw).alias("text"))
 
 
 @query
 def prose_flags(spark, sf):
     text = F.col("text")
-    return _documents(spark, sf).select(
+    return A.documents(spark, sf).select(
         "doc_id",
         X.word_count(text).cast("long").alias("n_words"),
         X.token_estimate(text).cast("long").alias("n_tokens"),
@@ -477,7 +473,7 @@ def prose_turns(spark, sf):
 
 @query
 def sentences(spark, sf):
-    return _documents(spark, sf).select(
+    return A.documents(spark, sf).select(
         "doc_id", F.posexplode(X.sentences(F.col("text"))).alias("pos", "sentence")
     )
 
@@ -487,7 +483,7 @@ def paragraphs(spark, sf):
     listed = F.replace(
         F.replace(F.col("text"), F.lit(". "), F.lit(".\n- ")), F.lit("\n"), F.lit("\n2) \n \n")
     )
-    return _documents(spark, sf).select(
+    return A.documents(spark, sf).select(
         "doc_id", F.posexplode(X.paragraphs(listed)).alias("pos", "paragraph")
     )
 
@@ -540,7 +536,7 @@ def extracted_sections(spark, sf):
 
 @query
 def extraction_failures(spark, sf):
-    pages = A.table(spark, sf, "pages").select("page_id", "html")
+    pages = A.pages(spark, sf).select("page_id", "html")
     return (
         H.extract_sections(pages)
         .groupBy("extraction_method", "failure_reason", "success")
@@ -550,7 +546,7 @@ def extraction_failures(spark, sf):
 
 @query
 def page_text(spark, sf):
-    return A.table(spark, sf, "pages").select("page_id", H.page_text(F.col("html")).alias("text"))
+    return A.pages(spark, sf).select("page_id", H.page_text(F.col("html")).alias("text"))
 
 
 # Identifiers and JSON: SCL-1, SCL-2, SCL-13, SCL-15..17, SCL-21, WIN-7, SRC-4, SRC-9, SRC-10 -

@@ -37,6 +37,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input that arrives in fewer splits than there are cores.
+
+    Text work is bound by the processor, so a small file is worth one shuffle. An input with
+    enough splits, which is any large one, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey")
+
+
 def _theme(size: Column) -> Column:
     """Theme -1 (noise) to 10 from the part size."""
     return (F.pmod(size, F.lit(THEME_COUNT)) - 1).cast("int")
@@ -54,7 +76,7 @@ def _line_vector() -> Column:
 
 def _line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select(
+    dated = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         "o_custkey",
         F.year("o_orderdate").alias("fiscal_year"),
@@ -62,7 +84,7 @@ def _line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), _theme(F.col("p_size")).alias("cluster_id")
     )
-    return lines.join(orders, "l_orderkey").join(parts, "l_partkey")
+    return lines.join(dated, "l_orderkey").join(parts, "l_partkey")
 
 
 def _line_columns(cik: Column) -> list[Column]:
@@ -107,7 +129,7 @@ def vector_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as chunks; the source is the entity, the length decides the theme."""
     key = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         key.cast("string").alias("chunk_id"),
         I.zero_fill(F.regexp_extract("source", r"(\d+)", 1)).alias("cik"),
         (F.lit(2016) + F.pmod(key, F.lit(8))).cast("int").alias("fiscal_year"),
@@ -122,7 +144,7 @@ def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as section rows, one filing each; the language is the section name."""
     key = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         I.zero_fill(key).alias("cik"),
         (F.lit(2016) + F.pmod(key, F.lit(8))).cast("int").alias("fiscal_year"),
         key.cast("string").alias("accession_number"),
@@ -133,10 +155,10 @@ def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embedding rows with the text of the document of the same number."""
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
     return (
         table(spark, sf_dir, "embeddings")
-        .join(documents, "vec_id")
+        .join(texts, "vec_id")
         .select(
             F.col("vec_id").cast("string").alias("chunk_id"),
             (F.col("label") - 1).alias("cluster_id"),
@@ -226,7 +248,7 @@ def order_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("string").alias("cik"),
         F.struct(recent.alias("recent")).alias("filings"),
     )
-    return table(spark, sf_dir, "orders").select(F.to_json(document).alias("json"))
+    return orders(spark, sf_dir).select(F.to_json(document).alias("json"))
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +301,7 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("cik"),
         F.create_map(F.lit("us-gaap"), gaap, F.lit("dei"), dei).alias("facts"),
     )
-    return table(spark, sf_dir, "orders").select(F.to_json(document).alias("json"))
+    return orders(spark, sf_dir).select(F.to_json(document).alias("json"))
 
 
 def _escaped(text: Column) -> Column:
@@ -308,4 +330,4 @@ def document_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         heading, F.lit("<p>"), _escaped(F.col("text")),
         F.lit("</p><h2>Item 1B. Unresolved Staff Comments</h2><p>None.</p></body></html>"),
     )
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", html.alias("html"))
+    return documents(spark, sf_dir).select("doc_id", "lang", html.alias("html"))
