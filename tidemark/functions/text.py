@@ -48,7 +48,7 @@ def strip(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of blank-separated words."""
-    return F.regexp_count(text, F.lit(rf"(?U){_NON_WS}+"))
+    return F.size(F.filter(F.split(text, rf"(?U){_WS}+"), lambda w: w != ""))
 
 
 def token_estimate(text: Column) -> Column:
@@ -103,7 +103,8 @@ def marker_overlap(text: Column) -> Column:
 def is_prose(text: Column, min_words: int = PROSE_MIN_WORDS) -> Column:
     """True for running English text, false for tables, numbers and noise."""
     words = word_count(text)
-    alphabetic = F.regexp_count(text, F.lit(rf"(?U){_NON_WS}*[a-zA-Z]{_NON_WS}*"))
+    # From its first letter to its end, every word with a letter matches exactly once.
+    alphabetic = F.regexp_count(text, F.lit(rf"(?U)[a-zA-Z]{_NON_WS}*"))
     return (
         (words >= min_words)
         & (F.try_divide(alphabetic, words) >= PROSE_MIN_ALPHA_SHARE)

@@ -28,13 +28,15 @@ def norm(vector: Column) -> Column:
 
 def l2_normalize(vector: Column) -> Column:
     """Unit vector in double precision; a zero vector is returned unchanged."""
-    length = norm(vector)
-    divisor = F.when(length == 0.0, F.lit(1.0)).otherwise(length)
-    # A one-element array carries the divisor into the lambda, so it is computed once per row.
+    # A one-element array binds the length to a name, so it is computed once per row.
     return F.flatten(
         F.transform(
-            F.array(divisor),
-            lambda d: F.transform(vector, lambda value: value.cast("double") / d),
+            F.array(norm(vector)),
+            lambda length: F.transform(
+                vector,
+                lambda value: value.cast("double")
+                / F.when(length == 0.0, F.lit(1.0)).otherwise(length),
+            ),
         )
     )
 

@@ -161,11 +161,10 @@ def novel_outliers(
     ``clustered`` has ``chunk_id, cluster_id, embedding`` and the text column.
     """
     middle = centroids if centroids is not None else cluster_centroids(clustered, dimension)
-    noise = clustered.where(
-        (F.col("cluster_id") == NOISE_CLUSTER)
-        & F.col("embedding").isNotNull()
-        & X.is_prose(F.col(text_col))
-    )
+    # One condition over cluster and text: the costly text test then runs on noise only and is
+    # not pushed below the join that brought vectors and texts together.
+    readable = F.when(F.col("cluster_id") == NOISE_CLUSTER, X.is_prose(F.col(text_col)))
+    noise = clustered.where(readable & F.col("embedding").isNotNull())
     # Top-k per task, then of the tasks' winners; texts ride along with at most k rows each.
     measured = nearest_centroid_distance(
         noise.select("chunk_id", "embedding", F.col(text_col).alias("text")), middle

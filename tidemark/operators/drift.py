@@ -16,6 +16,7 @@ from tidemark.functions.scoring import PERMUTATIONS, SIGNIFICANCE_LEVEL, clip
 from tidemark.functions.skew import salted_join
 from tidemark.operators.intensity import drop_noise
 from tidemark.schemas import assert_columns
+from tidemark.session import cut_lineage
 
 PAIR = ("cik", "cluster_id", "fiscal_year")
 DRIFT_DIGITS = 4  # fixed value: decimals of published drift figures
@@ -62,17 +63,25 @@ def compute_centroid_drift(
 
     Versions need not be adjacent years. A pair is left out when either side has no vector.
     """
-    return drift_of_members(with_embeddings(chunks, embeddings, exclude_noise), dimension, digits)
+    size = dimension or V.vector_dimension(embeddings, "embedding")
+    return drift_of_members(with_embeddings(chunks, embeddings, exclude_noise), size, digits)
 
 
 def drift_of_members(
     members: DataFrame, dimension: int | None = None, digits: int | None = DRIFT_DIGITS
 ) -> DataFrame:
-    """As :func:`compute_centroid_drift`, for chunks that already carry their vector."""
+    """As :func:`compute_centroid_drift`, for chunks that already carry their vector.
+
+    Pass the dimension when ``members`` is itself the result of a join: it is read from the
+    first row otherwise.
+    """
+    return drift_of_centroids(version_centroids(members, dimension), digits)
+
+
+def drift_of_centroids(centroids: DataFrame, digits: int | None = DRIFT_DIGITS) -> DataFrame:
+    """Distance of every mean vector to the one of the version before it."""
     history = Window.partitionBy("cik", "cluster_id").orderBy("fiscal_year")
-    paired = version_centroids(members, dimension).withColumn(
-        "previous", F.lag("centroid").over(history)
-    )
+    paired = centroids.withColumn("previous", F.lag("centroid").over(history))
     distance = V.cosine_distance(F.col("centroid"), F.col("previous"))
     return paired.where(F.col("centroid").isNotNull() & F.col("previous").isNotNull()).select(
         *PAIR, _published(distance, digits).alias("centroid_drift")
@@ -266,7 +275,8 @@ def compute_distribution_drift(
     """Centroid drift, energy distance, p-value, boilerplate index per pair of adjacent years."""
     members = with_embeddings(chunks, embeddings, exclude_noise)
     size = dimension or V.vector_dimension(embeddings, "embedding")
-    pairs = adjacent_pairs(members, size)
+    # One row per pair, read three times below: cut off so that vectors are averaged once.
+    pairs = cut_lineage(adjacent_pairs(members, size))
     p_values = permutation_p_values(members, pairs, size, iterations, small_pair)
     return pairs.join(p_values, list(PAIR)).select(
         *PAIR,

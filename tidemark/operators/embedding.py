@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as X
 from tidemark.functions import vectors as V
 from tidemark.schemas import assert_columns
+from tidemark.session import path_exists
 
 # Default vector size and texts per encoder call.
 DIMENSION = 384
@@ -83,9 +84,7 @@ class EmbeddingStore:
         self.spark, self.path, self.model = spark, path, model
 
     def _exists(self) -> bool:
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return fs.exists(jvm_path)
+        return path_exists(self.spark, self.path)
 
     def load(self) -> DataFrame:
         if not self._exists():

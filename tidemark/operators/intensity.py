@@ -45,8 +45,13 @@ def compute_intensity(chunks: DataFrame, labels: DataFrame | None = None) -> Dat
         ("chunk_id", "cik", "fiscal_year", "accession_number", "cluster_id"),
         "compute_intensity",
     )
+    return intensity_of_counts(count_chunks(chunks), labels)
+
+
+def intensity_of_counts(counts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """Intensity from chunk counts per (entity, version, theme)."""
     version = Window.partitionBy("cik", "fiscal_year")
-    counted = count_chunks(chunks).withColumn("total_chunks", F.sum("chunk_count").over(version))
+    counted = counts.withColumn("total_chunks", F.sum("chunk_count").over(version))
     scored = counted.withColumn(
         "intensity", safe_ratio(F.col("chunk_count"), F.col("total_chunks"))
     ).withColumn("is_present", F.col("intensity") > 0.0)

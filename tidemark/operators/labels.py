@@ -23,9 +23,9 @@ def term_counts(
     texts: DataFrame, text_col: str = "text", stop_words: Iterable[str] = ENGLISH_STOP_WORDS
 ) -> DataFrame:
     """Occurrences of one- and two-word terms per theme, combined before the shuffle."""
-    listed = texts.select(
-        "cluster_id", F.explode(X.terms(X.tokens(F.col(text_col), stop_words))).alias("term")
-    )
+    # Two projections: the token array is used several times and must be computed once.
+    tokenized = texts.select("cluster_id", X.tokens(F.col(text_col), stop_words).alias("tokens"))
+    listed = tokenized.select("cluster_id", F.explode(X.terms(F.col("tokens"))).alias("term"))
     return listed.groupBy("cluster_id", "term").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -81,43 +81,38 @@ def account_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def account_drift(spark: SparkSession, sf: str) -> DataFrame:
-    return D.drift_of_members(T.drop_noise(A.account_chunks(spark, sf)), dimension=4)
+    return D.drift_of_members(T.drop_noise(A.account_chunks(spark, sf)), A.LINE_DIMENSION)
 
 
 def region_drift(spark: SparkSession, sf: str) -> DataFrame:
-    return D.drift_of_members(T.drop_noise(A.region_chunks(spark, sf)), dimension=4)
+    return D.drift_of_members(T.drop_noise(A.region_chunks(spark, sf)), A.LINE_DIMENSION)
 
 
 def themes(spark: SparkSession) -> DataFrame:
     return A.theme_labels(spark).withColumnRenamed("label", "cluster_label")
 
 
-def region_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Gold tables of the region corpus (lazy)."""
-    intensity = region_intensity(spark, sf)
-    metadata = A.nation_companies(spark, sf)
+def _star(chunks: DataFrame, metadata: DataFrame, labels: DataFrame) -> dict[str, DataFrame]:
+    """Gold tables of a corpus from one pass over its chunks."""
+    found = drift_plan(chunks, labels, dimension=A.LINE_DIMENSION)
     return {
-        "companies": G.companies_table(metadata.select("cik"), metadata, intensity),
-        "themes": G.themes_table(A.theme_labels(spark), intensity),
-        "theme_intensity": G.theme_intensity_table(intensity),
-        "theme_changes": G.theme_changes_table(
-            C.compute_yoy_changes(intensity), region_drift(spark, sf)
-        ),
+        "companies": G.companies_table(metadata.select("cik"), metadata, found.intensity),
+        "themes": G.themes_table(labels, found.intensity),
+        "theme_intensity": G.theme_intensity_table(found.intensity),
+        "theme_changes": G.theme_changes_table(found.changes, found.centroid_drift),
     }
 
 
+def region_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return _star(
+        A.region_chunks(spark, sf), A.nation_companies(spark, sf), A.theme_labels(spark)
+    )
+
+
 def account_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Gold tables of the account corpus (lazy)."""
-    intensity = account_intensity(spark, sf)
-    metadata = A.customer_companies(spark, sf)
-    return {
-        "companies": G.companies_table(metadata.select("cik"), metadata, intensity),
-        "themes": G.themes_table(A.theme_labels(spark), intensity),
-        "theme_intensity": G.theme_intensity_table(intensity),
-        "theme_changes": G.theme_changes_table(
-            C.compute_yoy_changes(intensity), account_drift(spark, sf)
-        ),
-    }
+    return _star(
+        A.account_chunks(spark, sf), A.customer_companies(spark, sf), A.theme_labels(spark)
+    )
 
 
 def region_feed(spark: SparkSession, sf: str) -> DataFrame:
@@ -247,7 +242,9 @@ def ranked_changes_accounts(spark, sf):
 
 @query
 def top_changes(spark, sf):
-    result = drift_plan(A.account_chunks(spark, sf), A.theme_labels(spark))
+    result = drift_plan(
+        A.account_chunks(spark, sf), A.theme_labels(spark), dimension=A.LINE_DIMENSION
+    )
     return rounded(
         result.ranked.select(
             "rank", "cik", "cluster_id", "fiscal_year", "intensity_delta", "materiality_score",
@@ -366,7 +363,9 @@ def distribution_drift(spark, sf):
 
 @query
 def novel_outliers(spark, sf):
-    return L.novel_outliers(A.text_vectors(spark, sf))
+    return L.novel_outliers(
+        A.text_vectors(spark, sf), dimension=A.embedding_dimension(spark, sf)
+    )
 
 
 @query
@@ -511,7 +510,8 @@ def _representatives(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
     chunks = A.text_vectors(spark, sf)
     members = chunks.select("chunk_id", "cluster_id")
     vectors = chunks.select("chunk_id", "embedding")
-    return B.representative_chunks(members, vectors, L.cluster_centroids(chunks)), chunks
+    centroids = L.cluster_centroids(chunks, A.embedding_dimension(spark, sf))
+    return B.representative_chunks(members, vectors, centroids), chunks
 
 
 @query

@@ -6,11 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators import changes as C
 from tidemark.operators import drift as D
 from tidemark.operators.explanations import MAX_EXPLANATIONS, build_explanations
-from tidemark.operators.intensity import compute_intensity, drop_noise
+from tidemark.operators.intensity import GROUP, count_chunks, drop_noise, intensity_of_counts
+from tidemark.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -27,16 +29,23 @@ def drift_plan(
     chunks: DataFrame,
     labels: DataFrame | None = None,
     top: int = C.DEFAULT_TOP,
-    with_vectors: bool = True,
+    dimension: int | None = None,
 ) -> DriftResult:
-    """``chunks`` may carry an ``embedding``; without one the drift stays NULL."""
-    intensity = compute_intensity(chunks, labels)
-    changes = C.compute_yoy_changes(intensity)
+    """``chunks`` may carry an ``embedding``; without one the drift stays NULL.
+
+    With vectors, counts and mean vectors come from one aggregation that is cut off, so the
+    chunks are read and shuffled once although intensity and drift both build on them.
+    """
     drift = None
-    if with_vectors and "embedding" in chunks.columns:
-        drift = D.drift_of_members(drop_noise(chunks))
-    ranked = C.top_changes(changes, drift, top)
-    return DriftResult(intensity, changes, drift, ranked)
+    if "embedding" in chunks.columns:
+        groups = cut_lineage(D.version_centroids(drop_noise(chunks), dimension))
+        counts = groups.select(*GROUP, F.col("n_rows").alias("chunk_count"))
+        drift = D.drift_of_centroids(groups)
+    else:
+        counts = count_chunks(chunks)
+    intensity = intensity_of_counts(counts, labels)
+    changes = C.compute_yoy_changes(intensity)
+    return DriftResult(intensity, changes, drift, C.top_changes(changes, drift, top))
 
 
 def explained_changes(

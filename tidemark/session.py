@@ -76,3 +76,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the cluster's shared folder; survives the loss of executors."""
     _checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """Path and file system objects of any storage Spark can read."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, fs = hadoop_path(spark, path)
+    return fs.exists(target)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of a file or folder; 0 when it does not exist."""
+    target, fs = hadoop_path(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0

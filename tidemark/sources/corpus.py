@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import identifiers as I
+from tidemark.functions.vectors import vector_dimension
+from tidemark.session import folder_bytes
 
 THEME_COUNT = 12
+LINE_DIMENSION = 4
 # Labels for the first themes; the others stay unlabelled on purpose.
 THEME_NAMES = {
     0: "AI Tooling",
@@ -33,30 +36,76 @@ MANUAL_LABELS = {1: "Foundry Supply (Reviewed)", 9: "Labour Market"}
 EVENT_THEMES = ("click", "error", "purchase", "signup", "view")
 
 
+# Declared schemas: no job has to open files to infer them.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir}/{name}.parquet"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input that arrives in fewer splits than there are cores.
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table on all cores, even when it arrives in fewer splits than there are cores.
 
-    Text work is bound by the processor, so a small file is worth one shuffle. An input with
-    enough splits, which is any large one, is returned as it is.
+    Spark makes no split smaller than ``spark.sql.files.openCostInBytes``, so a table below
+    that size per core leaves cores idle and is worth one small shuffle. Any larger table is
+    read as it is, without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    frame = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    smallest = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    size = folder_bytes(spark, table_path(sf_dir, name))
+    return frame.repartition(cores, key) if size < cores * smallest else frame
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return spread_table(spark, sf_dir, "documents", "doc_id")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"), "page_id")
+    return spread_table(spark, sf_dir, "pages", "page_id")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    return spread_table(spark, sf_dir, "orders", "o_orderkey")
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_table(spark, sf_dir, "lineitem", "l_orderkey")
 
 
 def _theme(size: Column) -> Column:
@@ -75,7 +124,6 @@ def _line_vector() -> Column:
 
 
 def _line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
     dated = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         "o_custkey",
@@ -84,7 +132,7 @@ def _line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), _theme(F.col("p_size")).alias("cluster_id")
     )
-    return lines.join(dated, "l_orderkey").join(parts, "l_partkey")
+    return lines(spark, sf_dir).join(dated, "l_orderkey").join(parts, "l_partkey")
 
 
 def _line_columns(cik: Column) -> list[Column]:
@@ -155,7 +203,7 @@ def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embedding rows with the text of the document of the same number."""
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    texts = documents(spark, sf_dir).select(F.col("doc_id").alias("vec_id"), "text")
     return (
         table(spark, sf_dir, "embeddings")
         .join(texts, "vec_id")
@@ -168,12 +216,24 @@ def text_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _label_frame(spark: SparkSession, labels: dict[int, str]) -> DataFrame:
+    rows = F.array(
+        *[F.struct(F.lit(k).alias("cluster_id"), F.lit(v).alias("label")) for k, v in labels.items()]
+    )
+    return spark.range(1).select(F.inline(rows))
+
+
 def theme_labels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(THEME_NAMES.items()), "cluster_id int, label string")
+    return _label_frame(spark, THEME_NAMES)
 
 
 def manual_labels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(MANUAL_LABELS.items()), "cluster_id int, label string")
+    return _label_frame(spark, MANUAL_LABELS)
+
+
+def embedding_dimension(spark: SparkSession, sf_dir: str) -> int:
+    """Vector length, from one row of the stored table."""
+    return vector_dimension(table(spark, sf_dir, "embeddings"), "embedding")
 
 
 def nation_companies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schemas as S
 from tidemark.operators import gold as G
+from tidemark.session import folder_bytes, path_exists
 
 logger = logging.getLogger(__name__)
 
@@ -19,14 +20,8 @@ def table_path(gold_dir: str, name: str) -> str:
     return f"{gold_dir.rstrip('/')}/{name}.parquet"
 
 
-def _filesystem(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def table_exists(spark: SparkSession, gold_dir: str, name: str) -> bool:
-    target, fs = _filesystem(spark, table_path(gold_dir, name))
-    return fs.exists(target)
+    return path_exists(spark, table_path(gold_dir, name))
 
 
 def read_table(spark: SparkSession, gold_dir: str, name: str) -> DataFrame:
@@ -51,12 +46,11 @@ def check_sizes(spark: SparkSession, paths: dict[str, str]) -> dict[str, float]:
     """Size in MB per table, 0.0 when missing; large tables are logged."""
     sizes: dict[str, float] = {}
     for name, path in paths.items():
-        target, fs = _filesystem(spark, path)
-        if not fs.exists(target):
+        if not path_exists(spark, path):
             logger.warning("table '%s' not found at %s", name, path)
             sizes[name] = 0.0
             continue
-        sizes[name] = fs.getContentSummary(target).getLength() / MEGABYTE
+        sizes[name] = folder_bytes(spark, path) / MEGABYTE
         if sizes[name] > SIZE_WARNING_MB:
             logger.warning("table '%s' has %.1f MB", name, sizes[name])
     return sizes
@@ -67,8 +61,7 @@ def save_labels(labels: DataFrame, path: str) -> None:
 
 
 def load_labels(spark: SparkSession, path: str) -> DataFrame:
-    target, fs = _filesystem(spark, path)
-    if not fs.exists(target):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"no labels at {path}")
     return spark.read.schema("cluster_id int, label string").parquet(path)
 
