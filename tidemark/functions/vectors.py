@@ -69,13 +69,17 @@ def _per_dimension_sum(vector: Column, dimension: int) -> Column:
     )
 
 
+def _summarizer_sum(vector: Column, dimension: int) -> Column:
+    zero = F.array_repeat(F.lit(0.0), dimension)
+    filled = F.coalesce(vector.cast("array<double>"), zero)
+    return vector_to_array(Summarizer.sum(array_to_vector(filled)))
+
+
 def vector_sum(vector: Column, dimension: int) -> Column:
-    """Element-wise sum as an aggregate with map-side partial sums; zeros over no input."""
+    """Element-wise sum as an aggregate with map-side partial sums."""
     if dimension <= MAX_GENERATED_DIMENSIONS:
-        total = _per_dimension_sum(vector, dimension)
-    else:
-        total = vector_to_array(Summarizer.sum(array_to_vector(vector.cast("array<double>"))))
-    return total
+        return _per_dimension_sum(vector, dimension)
+    return _summarizer_sum(vector, dimension)
 
 
 def vector_means(
@@ -88,36 +92,17 @@ def vector_means(
     holds most of the rows costs one buffer per map task, not one huge task.
     """
     presence = next(iter(vectors.values()))
-    total_dimensions = dimension * len(vectors)
-    counts = [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(presence).alias("n_vectors"),
-    ]
-    if total_dimensions <= MAX_GENERATED_DIMENSIONS:
-        sums = [
-            _per_dimension_sum(vector, dimension).alias(name)
-            for name, vector in vectors.items()
-        ]
-        grouped = df.groupBy(*keys).agg(*counts, *sums)
-        means = {
-            name: F.when(
-                F.col("n_vectors") > 0,
-                F.transform(name, lambda value: value / F.col("n_vectors")),
-            )
-            for name in vectors
-        }
-        return grouped.withColumns(means)
-    zero = F.array_repeat(F.lit(0.0), dimension)
-    means_agg = [
-        vector_to_array(
-            Summarizer.mean(
-                array_to_vector(F.coalesce(vector.cast("array<double>"), zero)),
-                F.when(vector.isNull(), F.lit(0.0)).otherwise(F.lit(1.0)),
-            )
-        ).alias(name)
+    counts = [F.count(F.lit(1)).alias("n_rows"), F.count(presence).alias("n_vectors")]
+    generated = dimension * len(vectors) <= MAX_GENERATED_DIMENSIONS
+    sums = [
+        (_per_dimension_sum(vector, dimension) if generated else _summarizer_sum(vector, dimension))
+        .alias(name)
         for name, vector in vectors.items()
     ]
-    grouped = df.groupBy(*keys).agg(*counts, *means_agg)
-    return grouped.withColumns(
-        {name: F.when(F.col("n_vectors") > 0, F.col(name)) for name in vectors}
-    )
+    means = {
+        name: F.when(
+            F.col("n_vectors") > 0, F.transform(name, lambda value: value / F.col("n_vectors"))
+        )
+        for name in vectors
+    }
+    return df.groupBy(*keys).agg(*counts, *sums).withColumns(means)
