@@ -23,22 +23,21 @@ def dot(left: Column, right: Column) -> Column:
 
 
 def norm(vector: Column) -> Column:
-    return F.sqrt(dot(vector, vector))
+    squares = F.aggregate(
+        vector.cast("array<double>"), F.lit(0.0), lambda acc, value: acc + value * value
+    )
+    return F.sqrt(squares)
 
 
 def l2_normalize(vector: Column) -> Column:
     """Unit vector in double precision; a zero vector is returned unchanged."""
-    # A one-element array binds the length to a name, so it is computed once per row.
-    return F.flatten(
-        F.transform(
-            F.array(norm(vector)),
-            lambda length: F.transform(
-                vector,
-                lambda value: value.cast("double")
-                / F.when(length == 0.0, F.lit(1.0)).otherwise(length),
-            ),
-        )
+    # One-element arrays bind the length to a name, so it is computed once per row.
+    divisor = F.transform(
+        F.array(norm(vector)),
+        lambda length: F.when(length == 0.0, F.lit(1.0)).otherwise(length),
     )
+    values = vector.cast("array<double>")
+    return F.flatten(F.transform(divisor, lambda d: F.transform(values, lambda v: v / d)))
 
 
 def scale(vector: Column, factor: Column) -> Column:

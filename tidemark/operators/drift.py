@@ -140,7 +140,10 @@ def _pair_members(members: DataFrame) -> DataFrame:
 
 def _small_thresholds(sized_ids: DataFrame, iterations: int) -> DataFrame:
     """Pairs of bounded size: ids gathered per pair, n-th smallest key per iteration in place."""
-    gathered = sized_ids.groupBy(*PAIR).agg(
+    # Hashing 60 times per id is work beyond the size of the ids, so keep every partition; the
+    # grouping needs this shuffle in any case.
+    parts = int(sized_ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gathered = sized_ids.repartition(parts, *PAIR).groupBy(*PAIR).agg(
         F.collect_list("chunk_id").alias("ids"), F.first("n_current").alias("n_current")
     )
     return gathered.select(
@@ -230,14 +233,14 @@ def permutation_p_values(
     thresholds = _small_thresholds(ids.where(total <= small_pair), iterations).unionByName(
         _large_thresholds(ids.where(total > small_pair), iterations)
     )
+    joined = salted_join(
+        _pair_members(members).select(*PAIR, "chunk_id", "embedding"),
+        thresholds,
+        list(PAIR),
+        "chunk_id",
+    )
     drawn = (
-        salted_join(
-            _pair_members(members).select(*PAIR, "chunk_id", "embedding"),
-            thresholds,
-            list(PAIR),
-            "chunk_id",
-        )
-        .select(*PAIR, "chunk_id", "embedding", F.posexplode("thresholds").alias("pos", "t"))
+        joined.select(*PAIR, "chunk_id", "embedding", F.posexplode("thresholds").alias("pos", "t"))
         .withColumn("i", F.col("pos") + 1)
         .where(_shuffle_key(F.col("chunk_id"), F.col("i")) <= F.col("t"))
     )

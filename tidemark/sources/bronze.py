@@ -139,11 +139,18 @@ def update_bronze(
 
 
 def latest_documents(bronze: DataFrame) -> DataFrame:
-    """Last successful copy of every primary document as text (invalid bytes replaced)."""
+    """Last successful copy of every primary document as text (invalid bytes replaced).
+
+    Copies are compared without their contents; only the keys of superseded ones, of which
+    there are few, meet the contents in an anti join.
+    """
     good = bronze.where(F.col("error").isNull() & (F.col("kind") == "document"))
-    newest = F.max_by("content", "fetched_at")
-    return (
-        good.groupBy("cik", "accession_number", "fiscal_year")
-        .agg(newest.alias("content"))
-        .select("cik", "accession_number", "fiscal_year", F.decode("content", "UTF-8").alias("html"))
+    stamps = good.select("artifact", "fetched_at")
+    last = stamps.groupBy("artifact").agg(F.max("fetched_at").alias("last"))
+    old = stamps.join(last, "artifact").where(F.col("fetched_at") < F.col("last"))
+    kept = good.join(
+        old.select("artifact", "fetched_at"), ["artifact", "fetched_at"], "left_anti"
+    )
+    return kept.select(
+        "cik", "accession_number", "fiscal_year", F.decode("content", "UTF-8").alias("html")
     )
