@@ -31,7 +31,7 @@ from tidemark.operators import tracker as R
 from tidemark import schemas as S
 from tidemark.plans import reports as O
 from tidemark.plans import sql_console as Q
-from tidemark.plans.drift_plan import drift_plan
+from tidemark.plans.drift_plan import DriftResult, drift_plan
 from tidemark.sources import corpus as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,17 +84,22 @@ def account_drift(spark: SparkSession, sf: str) -> DataFrame:
     return D.drift_of_members(T.drop_noise(A.account_chunks(spark, sf)), A.LINE_DIMENSION)
 
 
-def region_drift(spark: SparkSession, sf: str) -> DataFrame:
-    return D.drift_of_members(T.drop_noise(A.region_chunks(spark, sf)), A.LINE_DIMENSION)
+def region_result(spark: SparkSession, sf: str) -> DriftResult:
+    chunks = A.region_chunks(spark, sf)
+    return drift_plan(chunks, A.theme_labels(spark), dimension=A.LINE_DIMENSION)
+
+
+def account_result(spark: SparkSession, sf: str) -> DriftResult:
+    chunks = A.account_chunks(spark, sf)
+    return drift_plan(chunks, A.theme_labels(spark), dimension=A.LINE_DIMENSION)
 
 
 def themes(spark: SparkSession) -> DataFrame:
     return A.theme_labels(spark).withColumnRenamed("label", "cluster_label")
 
 
-def _star(chunks: DataFrame, metadata: DataFrame, labels: DataFrame) -> dict[str, DataFrame]:
+def _star(found: DriftResult, metadata: DataFrame, labels: DataFrame) -> dict[str, DataFrame]:
     """Gold tables of a corpus from one pass over its chunks."""
-    found = drift_plan(chunks, labels, dimension=A.LINE_DIMENSION)
     return {
         "companies": G.companies_table(metadata.select("cik"), metadata, found.intensity),
         "themes": G.themes_table(labels, found.intensity),
@@ -104,15 +109,13 @@ def _star(chunks: DataFrame, metadata: DataFrame, labels: DataFrame) -> dict[str
 
 
 def region_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return _star(
-        A.region_chunks(spark, sf), A.nation_companies(spark, sf), A.theme_labels(spark)
-    )
+    metadata = A.nation_companies(spark, sf)
+    return _star(region_result(spark, sf), metadata, A.theme_labels(spark))
 
 
 def account_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return _star(
-        A.account_chunks(spark, sf), A.customer_companies(spark, sf), A.theme_labels(spark)
-    )
+    metadata = A.customer_companies(spark, sf)
+    return _star(account_result(spark, sf), metadata, A.theme_labels(spark))
 
 
 def region_feed(spark: SparkSession, sf: str) -> DataFrame:
@@ -224,7 +227,8 @@ def change_scores(spark, sf):
 
 @query
 def ranked_changes(spark, sf):
-    ranked = C.rank_changes(region_changes(spark, sf), region_drift(spark, sf))
+    found = region_result(spark, sf)
+    ranked = C.rank_changes(found.changes, found.centroid_drift)
     return rounded(
         ranked.select(
             "rank", "cik", "cluster_id", "fiscal_year", "materiality_score", "centroid_drift"
@@ -242,11 +246,8 @@ def ranked_changes_accounts(spark, sf):
 
 @query
 def top_changes(spark, sf):
-    result = drift_plan(
-        A.account_chunks(spark, sf), A.theme_labels(spark), dimension=A.LINE_DIMENSION
-    )
     return rounded(
-        result.ranked.select(
+        account_result(spark, sf).ranked.select(
             "rank", "cik", "cluster_id", "fiscal_year", "intensity_delta", "materiality_score",
             "change_type", "centroid_drift",
         )
@@ -255,7 +256,8 @@ def top_changes(spark, sf):
 
 @query
 def changes_with_drift(spark, sf):
-    return rounded(C.attach_drift(account_changes(spark, sf), account_drift(spark, sf)))
+    found = account_result(spark, sf)
+    return rounded(C.attach_drift(found.changes, found.centroid_drift))
 
 
 # Tracker: FLT-2, FLT-3, FLT-4, AGG-4, AGG-5, AGG-6, JOIN-7, JOIN-8, WIN-4, WIN-10, SET-3 -----
@@ -651,7 +653,8 @@ def explanations(spark, sf):
 @query
 def drift_explanations(spark, sf):
     """Template texts of all drifting regions, with measured drift."""
-    changes = C.attach_drift(region_changes(spark, sf), region_drift(spark, sf))
+    found = region_result(spark, sf)
+    changes = C.attach_drift(found.changes, found.centroid_drift)
     named = T.attach_labels(changes, A.theme_labels(spark))
     return named.select(
         I.change_id(F.col("cik"), F.col("cluster_id"), F.col("fiscal_year")).alias("change_id"),
@@ -717,11 +720,12 @@ def gold_theme_intensity(spark, sf):
 
 @query
 def gold_theme_changes(spark, sf):
-    odd = account_changes(spark, sf).withColumn(
+    found = account_result(spark, sf)
+    odd = found.changes.withColumn(
         "change_type",
         F.when(F.col("change_type") == "fading", F.lit("shrinking")).otherwise(F.col("change_type")),
     )
-    return rounded(G.theme_changes_table(odd, account_drift(spark, sf)))
+    return rounded(G.theme_changes_table(odd, found.centroid_drift))
 
 
 @query
