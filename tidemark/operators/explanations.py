@@ -15,6 +15,7 @@ from tidemark.functions.scoring import (
     DRIFT_LOW,
     approximate_intensity,
 )
+from tidemark.operators.intensity import unique_labels
 from tidemark.schemas import assert_columns
 
 # Evidence rows per version, cap on explanations, prompt excerpt length.
@@ -63,16 +64,16 @@ def attach_evidence(
 ) -> DataFrame:
     """Adds ``evidence_current`` and ``evidence_previous`` (arrays, empty when none).
 
-    Chunks are first reduced to the versions that are asked for. With a known cap on the
-    changes those keys are broadcast; otherwise Spark chooses the join from measured sizes.
+    With a known cap on the changes their keys are a proven small table: they are broadcast and
+    reduce the chunks before anything is shuffled. Without a cap nearly every version is asked
+    for, so the first rows of all of them are taken, which also combines before the shuffle.
     """
-    keys = changes.select(*_KEY)
-    wanted = keys.unionByName(
-        keys.withColumn("fiscal_year", F.col("fiscal_year") - 1)
-    ).distinct()
+    relevant = chunks
     if max_changes is not None and max_changes <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    relevant = chunks.join(wanted, list(_KEY), "left_semi")
+        keys = changes.select(*_KEY)
+        before = keys.withColumn("fiscal_year", F.col("fiscal_year") - 1)
+        wanted = keys.unionByName(before).distinct()
+        relevant = chunks.join(F.broadcast(wanted), list(_KEY), "left_semi")
     evidence = first_evidence(relevant, n, text_col)
     current = _gathered(evidence, "evidence_current")
     previous = _gathered(evidence, "evidence_previous").withColumn(
@@ -188,9 +189,7 @@ def build_explanations(
     chosen = ranked.where(F.col("rank") <= max_explanations)
     if "centroid_drift" not in chosen.columns:
         chosen = chosen.withColumn("centroid_drift", F.lit(None).cast("double"))
-    names = labels.select("cluster_id", F.col("label").alias("theme_label")).dropDuplicates(
-        ["cluster_id"]
-    )
+    names = unique_labels(labels).withColumnRenamed("label", "theme_label")
     label = F.coalesce(
         F.col("theme_label"), F.concat(F.lit("cluster_"), F.col("cluster_id").cast("string"))
     )

@@ -9,7 +9,7 @@ from tidemark import schemas as S
 from tidemark.functions import identifiers as I
 from tidemark.functions.scoring import CHANGE_TYPES, clip, safe_ratio
 from tidemark.operators.changes import attach_drift
-from tidemark.operators.intensity import NOISE_CLUSTER
+from tidemark.operators.intensity import NOISE_CLUSTER, unique_labels
 
 # Year used for an entity without any intensity row; cap on evidence rows.
 UNKNOWN_YEAR = 1993
@@ -47,9 +47,7 @@ def companies_table(ciks: DataFrame, metadata: DataFrame, intensity: DataFrame)
 
 def apply_overrides(themes: DataFrame, overrides: DataFrame) -> DataFrame:
     """Replace labels that have a manual override and flag them."""
-    manual = overrides.select(
-        F.col("cluster_id"), F.col("label").alias("_manual")
-    ).dropDuplicates(["cluster_id"])
+    manual = unique_labels(overrides).withColumnRenamed("label", "_manual")
     joined = themes.drop("override_flag").join(manual, "cluster_id", "left")
     return joined.withColumns(
         {
@@ -68,9 +66,7 @@ def themes_table(
         F.min("fiscal_year").alias("first_seen_year"),
         F.max("fiscal_year").alias("last_seen_year"),
     )
-    named = reach.join(
-        labels.select("cluster_id", "label").dropDuplicates(["cluster_id"]), "cluster_id", "left"
-    ).withColumn(
+    named = reach.join(unique_labels(labels), "cluster_id", "left").withColumn(
         "label",
         F.coalesce("label", F.concat(F.lit("cluster_"), F.col("cluster_id").cast("string"))),
     )

@@ -23,13 +23,16 @@ def count_chunks(chunks: DataFrame) -> DataFrame:
     return drop_noise(chunks).groupBy(*GROUP).agg(F.count("chunk_id").alias("chunk_count"))
 
 
+def unique_labels(labels: DataFrame) -> DataFrame:
+    """One label per theme; of several, the alphabetically first, on every run."""
+    return labels.groupBy("cluster_id").agg(F.min("label").alias("label"))
+
+
 def attach_labels(frame: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Left join of the label table (``cluster_id``, ``label``); missing labels are named."""
     if labels is None:
         return frame.withColumn("cluster_label", F.lit(UNLABELLED))
-    lookup = labels.select(
-        F.col("cluster_id"), F.col("label").alias("cluster_label")
-    ).dropDuplicates(["cluster_id"])
+    lookup = unique_labels(labels).withColumnRenamed("label", "cluster_label")
     joined = frame.join(lookup, "cluster_id", "left")
     return joined.withColumn("cluster_label", F.coalesce("cluster_label", F.lit(UNLABELLED)))
 

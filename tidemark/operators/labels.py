@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as X
 from tidemark.functions import vectors as V
 from tidemark.functions.stopwords import ENGLISH_STOP_WORDS
-from tidemark.operators.intensity import NOISE_CLUSTER
+from tidemark.operators.intensity import NOISE_CLUSTER, unique_labels
 from tidemark.schemas import assert_columns
 
 # Terms per label, excerpts per prompt, characters per excerpt.
@@ -129,9 +129,9 @@ def label_themes(
         labelled = labelled.join(cleaned, "cluster_id", "left")
         choices.insert(0, F.when(F.col("generated") != "", F.col("generated")))
     if overrides is not None:
-        manual = overrides.select(
+        manual = unique_labels(overrides).select(
             "cluster_id", X.clean_label(F.col("label")).alias("manual")
-        ).dropDuplicates(["cluster_id"])
+        )
         labelled = labelled.join(manual, "cluster_id", "left")
         choices.insert(0, F.col("manual"))
     return labelled.select("cluster_id", F.coalesce(*choices).alias("label"))

@@ -6,39 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schemas import GOLD_TABLES
 
-# The four preset reports.
+# The preset reports; their column names, threshold, label patterns and row limit are fixed.
 PRESETS = {
     "top-drift": """
-        SELECT t.label AS theme, tc.fiscal_year,
-               COUNT(DISTINCT tc.cik) AS entities_affected,
-               ROUND(AVG(tc.materiality_score), 4) AS avg_materiality,
-               ROUND(AVG(tc.centroid_drift), 4) AS avg_centroid_drift
-        FROM theme_changes tc JOIN themes t ON tc.cluster_id = t.cluster_id
-        GROUP BY t.label, tc.fiscal_year
+        SELECT label AS theme, fiscal_year, count(DISTINCT cik) AS entities_affected,
+               round(avg(materiality_score), 4) AS avg_materiality,
+               round(avg(centroid_drift), 4) AS avg_centroid_drift
+        FROM theme_changes INNER JOIN themes USING (cluster_id)
+        GROUP BY ALL
         ORDER BY avg_materiality DESC, theme, fiscal_year
         LIMIT 12""",
     "emerging-ai": """
-        SELECT c.ticker, c.name, tc.fiscal_year, tc.intensity_delta, tc.materiality_score
-        FROM theme_changes tc
-        JOIN companies c ON tc.cik = c.cik
-        JOIN themes t ON tc.cluster_id = t.cluster_id
-        WHERE (t.label LIKE '%AI%' OR t.label LIKE '%Foundry%' OR t.label LIKE '%Packaging%')
-          AND tc.change_type IN ('new', 'intensifying')
-        ORDER BY tc.materiality_score DESC""",
+        SELECT ticker, name, fiscal_year, intensity_delta, materiality_score
+        FROM theme_changes
+        INNER JOIN themes USING (cluster_id)
+        INNER JOIN companies USING (cik)
+        WHERE change_type IN ('new', 'intensifying')
+          AND label LIKE ANY ('%AI%', '%Foundry%', '%Packaging%')
+        ORDER BY materiality_score DESC""",
     "centroid-divergence": """
-        SELECT c.ticker, t.label AS theme, tc.fiscal_year, tc.centroid_drift,
-               tc.materiality_score
-        FROM theme_changes tc
-        JOIN companies c ON tc.cik = c.cik
-        JOIN themes t ON tc.cluster_id = t.cluster_id
-        WHERE tc.centroid_drift > 0.65
-        ORDER BY tc.centroid_drift DESC""",
+        SELECT ticker, label AS theme, fiscal_year, centroid_drift, materiality_score
+        FROM theme_changes
+        INNER JOIN themes USING (cluster_id)
+        INNER JOIN companies USING (cik)
+        WHERE centroid_drift > 0.65
+        ORDER BY centroid_drift DESC""",
     "sector-distribution": """
-        SELECT c.sector,
-               COUNT(DISTINCT tc.cluster_id) AS unique_themes_flagged,
-               ROUND(AVG(tc.materiality_score), 4) AS mean_sector_materiality
-        FROM theme_changes tc JOIN companies c ON tc.cik = c.cik
-        GROUP BY c.sector
+        SELECT sector, count(DISTINCT cluster_id) AS unique_themes_flagged,
+               round(avg(materiality_score), 4) AS mean_sector_materiality
+        FROM theme_changes INNER JOIN companies USING (cik)
+        GROUP BY sector
         ORDER BY mean_sector_materiality DESC""",
 }
 
