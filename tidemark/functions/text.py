@@ -43,7 +43,8 @@ UNKNOWN_LABEL = "Unknown Theme"
 
 def strip(text: Column) -> Column:
     """Remove blanks of any kind from both ends."""
-    return F.regexp_replace(text, rf"(?U)\A{_WS}+|{_WS}+\z", "")
+    # Tried only where a run of blanks begins, so long runs inside the text stay linear.
+    return F.regexp_replace(text, rf"(?U)\A{_WS}++|(?<!{_WS}){_WS}++\z", "")
 
 
 def word_count(text: Column) -> Column:
@@ -64,7 +65,8 @@ def normalize_whitespace(text: Column) -> Column:
 
 def dehyphenate(text: Column) -> Column:
     """Join words that a line break split after a hyphen."""
-    return F.regexp_replace(text, rf"({_WORD}+)-\n({_WORD}+)", "$1$2")
+    # Tried only at word starts, so very long words stay linear.
+    return F.regexp_replace(text, rf"(?<!{_WORD})({_WORD}++)-\n({_WORD}+)", "$1$2")
 
 
 @F.pandas_udf(T.StringType())
@@ -125,40 +127,50 @@ def paragraphs(text: Column) -> Column:
     return F.filter(F.transform(pieces, strip), lambda p: p != "")
 
 
-def pack_sentences(text: Column, max_words: int) -> Column:
-    """Greedy running-sum packing: consecutive sentences joined up to ``max_words`` words.
+def _group_starts(sized: Column, max_words: int) -> Column:
+    """Positions of the sentences that open a group, by a running sum that starts over.
 
-    A sentence longer than the limit forms a group of its own.
+    The state holds numbers only: Spark copies it at every step, so texts stay out of it.
     """
-    sized = F.transform(
-        sentences(text), lambda s: F.struct(s.alias("s"), word_count(s).alias("n"))
-    )
     start = F.struct(
-        F.array().cast("array<string>").alias("done"),
-        F.lit("").alias("open"),
-        F.lit(0).alias("n"),
+        F.array().cast("array<int>").alias("starts"), F.lit(0).alias("n"), F.lit(0).alias("i")
     )
 
     def step(state: Column, item: Column) -> Column:
-        full = (state["n"] > 0) & (state["n"] + item["n"] > max_words)
-        fresh = full | (state["n"] == 0)
+        opens = (state["n"] == 0) | (state["n"] + item["n"] > max_words)
         return F.struct(
-            F.when(full, F.array_append(state["done"], state["open"]))
-            .otherwise(state["done"])
-            .alias("done"),
-            F.when(fresh, item["s"])
-            .otherwise(F.concat(state["open"], F.lit(" "), item["s"]))
-            .alias("open"),
-            F.when(fresh, item["n"]).otherwise(state["n"] + item["n"]).alias("n"),
+            F.when(opens, F.array_append(state["starts"], state["i"] + 1))
+            .otherwise(state["starts"])
+            .alias("starts"),
+            F.when(opens, item["n"]).otherwise(state["n"] + item["n"]).alias("n"),
+            (state["i"] + 1).alias("i"),
         )
 
-    return F.aggregate(
-        sized,
-        start,
-        step,
-        lambda state: F.when(state["n"] > 0, F.array_append(state["done"], state["open"]))
-        .otherwise(state["done"]),
+    return F.aggregate(sized, start, step, lambda state: state["starts"])
+
+
+def pack_sentences(text: Column, max_words: int) -> Column:
+    """Greedy packing: consecutive sentences joined up to ``max_words`` words.
+
+    A sentence longer than the limit forms a group of its own.
+    """
+    sized = F.transform(
+        sentences(text), lambda s: F.struct(s.alias("s"), word_count(s).alias("n"))
+    )
+
+    def group(items: Column, starts: Column, first: Column, position: Column) -> Column:
+        following = F.coalesce(F.get(starts, position + 1), F.size(items) + 1)
+        return F.array_join(F.slice(items, first, following - first)["s"], " ")
+
+    # One-element arrays bind the sentences and the starts, so each is computed once.
+    nested = F.transform(
+        F.array(sized),
+        lambda items: F.transform(
+            F.array(_group_starts(items, max_words)),
+            lambda starts: F.transform(starts, lambda s, i: group(items, starts, s, i)),
+        ),
     )
+    return F.flatten(F.flatten(nested))
 
 
 def tokens(text: Column, stop_words: Iterable[str] = ()) -> Column:
