@@ -490,7 +490,6 @@ chunks AS (
          embedding::DOUBLE[] AS embedding, text
   FROM embeddings JOIN documents ON vec_id = doc_id)
 """
-_WS = r"[\s\x1c-\x1f\x85\xa0]"
 _MARKERS = "['the','and','to','of','in','a','is','that','for','our','we','by','as','with']"
 WORDS = "list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')"
 PROSE = f"""
@@ -799,12 +798,10 @@ SQL["page_text"] = f"SELECT page_id, {_page_text()} AS text FROM pages"
 
 SQL["padded_ids"] = """
 SELECT c_custkey, lpad(c_custkey::VARCHAR, 10, '0') AS filled,
-       lpad(nullif(c_custkey, 0)::VARCHAR, 10, '0') AS padded0,
-       CASE WHEN c_custkey = 0 THEN '0000000000' ELSE lpad(c_custkey::VARCHAR, 10, '0') END
-         AS padded,
+       lpad(c_custkey::VARCHAR, 10, '0') AS padded,
        NULL::VARCHAR AS not_numeric, '12345678901' || c_custkey AS long_key
 FROM customer
-""".replace("       lpad(nullif(c_custkey, 0)::VARCHAR, 10, '0') AS padded0,\n", "")
+"""
 SQL["accession_numbers"] = """
 SELECT o_orderkey, lpad(o_orderkey::VARCHAR, 10, '0') || '-24-000123' AS dashed,
        lpad(o_orderkey::VARCHAR, 10, '0') || '24000123' AS bare,
