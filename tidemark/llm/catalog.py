@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import sql
+from tidemark.llm.bpe import digest_documents
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.secrets import scan_secrets
+from tidemark.llm.warc import archive
 from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +29,26 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets in every document, nested encodings unwrapped."""
+    return scan_secrets(table(spark, sf, "documents"))
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Token and round-trip digests of every document."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return digest_documents(table(spark, sf, "documents"), str(ranks), public_tokenizers.PATTERN)
+
+
+@query
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page written to WARC bundles and read back."""
+    _, read = archive(table(spark, sf, "pages"))
+    return read.drop("record_id")
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Copies among all documents."""
