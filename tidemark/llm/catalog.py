@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import sql
 from tidemark.llm.bpe import digest_documents
+from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.language import address, identify, markup_language, visible_text
+from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.quality import quality_scores
 from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.warc import archive
 from tidemark.session import ship_package
@@ -29,12 +35,25 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark items that documents hold."""
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op2_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Secrets in every document, nested encodings unwrapped."""
     return scan_secrets(table(spark, sf, "documents"))
 
 
+@query
+def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that repeat an earlier line up to a few edits, removed from every document."""
+    cut = dedup_lines(table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Token and round-trip digests of every document."""
@@ -42,6 +61,44 @@ def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return digest_documents(table(spark, sf, "documents"), str(ranks), public_tokenizers.PATTERN)
 
 
+@query
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document and page: documents come with a declared language and a source,
+    pages with markup and an address."""
+    docs = table(spark, sf, "documents")
+    null = F.lit(None).cast("string")
+    number = F.lit(None).cast("long")
+    source = docs["source"]
+    parts = address(F.col("url"))
+    html = F.coalesce("html", F.lit(""))
+    rows = docs.select(
+        "doc_id", number.alias("page_id"), F.col("lang").alias("declared"), "text",
+        source.alias("host"), source.alias("domain"), null.alias("suffix"),
+    ).unionByName(
+        table(spark, sf, "pages").select(
+            number.alias("doc_id"), "page_id", markup_language(html).alias("declared"),
+            visible_text(html).alias("text"), *[v.alias(k) for k, v in parts.items()],
+        )
+    )
+    key = F.concat_ws("/", F.col("doc_id").cast("string"), F.lit("page"), F.col("page_id").cast("string"))
+    found = identify(
+        rows, F.col("text"), F.col("declared"), F.col("host"), F.col("domain"), F.col("suffix"), key
+    )
+    return found.select("doc_id", "page_id", "language", "confidence", "accepted")
+
+
+@query
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op8_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of near copies among all documents."""
+    return near_duplicates(table(spark, sf, "documents"))
+
+
 @query
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Every page written to WARC bundles and read back."""
