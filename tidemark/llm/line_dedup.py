@@ -95,7 +95,7 @@ def _banded(a: str, b: str, k: int) -> int:
     score follows the lowest diagonal of the band until the last row, then that row.
     """
     if len(a) <= k:
-        return len(a)
+        return len(a)  # not the distance, but not above k either
     width = 2 * k + 1
     full = (1 << width) - 1
     rows: dict[str, int] = {}
