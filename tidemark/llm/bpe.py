@@ -109,39 +109,32 @@ def digest_documents(
     pattern: str,
     id_col: str = "doc_id",
     text_col: str = "text",
+    with_ids: bool = False,
 ) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of the same encoding and decoding; the tokens
-    stay inside the tasks. Rows as in ``encode_documents``."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of the same encoding and decoding, and ``ids``
+    if asked for. Rows as in ``encode_documents``."""
+    kinds = [pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32())] * with_ids
+    names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, str, str]] = []
-            for text in batch.column("text"):
-                ids = encode(text.as_py(), rank_file, pattern)
-                out.append(
-                    (
-                        len(ids),
-                        hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest(),
-                        hashlib.sha256(decode(ids, rank_file, pattern)).hexdigest(),
-                    )
+            for part in _slices(batch):
+                out = []
+                for text in part.column("text"):
+                    ids = np.asarray(encode(text.as_py(), rank_file, pattern), "<u4")
+                    decoded = hashlib.sha256(decode(ids.tolist(), rank_file, pattern))
+                    row = (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), decoded.hexdigest(), ids.view("<i4"))
+                    out.append(row[: len(names)])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))],
+                    names=["doc_id", *names],
                 )
-            counts, id_digests, digests = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(counts, pa.int64()),
-                    pa.array(id_digests, pa.string()),
-                    pa.array(digests, pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
 
     rows = docs.select(
         column(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text")
     )
-    return rows.mapInArrow(
-        work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return rows.mapInArrow(work, schema + ", ids array<int>" * with_ids)
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:

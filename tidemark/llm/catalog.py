@@ -17,6 +17,7 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.secrets import scan_secrets
+from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.warc import archive
 from tidemark.session import ship_package
 
@@ -61,6 +62,12 @@ def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return digest_documents(table(spark, sf, "documents"), str(ranks), public_tokenizers.PATTERN)
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes of every document that an earlier string covers, removed."""
+    return remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
 @query
 def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     """Language of every document and page: documents come with a declared language and a source,
