@@ -132,19 +132,24 @@ def _sketched(rows: DataFrame) -> DataFrame:
 
 
 def _full_sets(rows: DataFrame) -> DataFrame:
-    """``doc_id, n, bits, shingles``: 8 bits of each coordinate, and the whole set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("shingles", pa.binary())])
+    """``doc_id, n, bits, bands, shingles``: 8 bits of each coordinate, 32 of each band, the whole set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64())] + [(c, pa.binary()) for c in ("bits", "bands", "shingles")])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py()) for t in batch.column("text")]
-            bits = [sketch(s).astype(np.uint8).tobytes() if len(s) else b"" for s in sets]
+            bins = [sketch(s) if len(s) else s for s in sets]
+            columns = [
+                [x.astype(np.uint8).tobytes() for x in bins],
+                [band_keys(x).astype(np.uint32).tobytes() if len(x) else b"" for x in bins],
+                [s.tobytes() for s in sets],
+            ]
+            sizes = pa.array([len(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(bits, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                schema=schema,
+                [batch.column("doc_id"), sizes, *(pa.array(c, pa.binary()) for c in columns)], schema=schema
             )
 
-    return rows.mapInArrow(work, "doc_id long, n long, bits binary, shingles binary")
+    return rows.mapInArrow(work, "doc_id long, n long, bits binary, bands binary, shingles binary")
 
 
 @F.pandas_udf(T.BooleanType())
@@ -152,12 +157,10 @@ def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b)], dtype=bool)
 
 
-def _links_of_block(block: pd.DataFrame) -> pd.DataFrame:
-    """Links between outsiders and members of one block that join different components."""
-    outer, inner = block[block["side"] == 0], block[block["side"] == 1]
+def _links_of_block(band: int, outer: list[tuple], inner: list[tuple]) -> list[tuple[int, int]]:
+    """Links between outsiders and members of one block that join different components. A pair is left
+    to the first band it shares. Rows are (id, component, bits, bands, shingles)."""
     out: list[tuple[int, int]] = []
-    if not len(outer) or not len(inner):
-        return pd.DataFrame(out, columns=["a", "b"])
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -165,19 +168,55 @@ def _links_of_block(block: pd.DataFrame) -> pd.DataFrame:
             parent[x] = x = parent.get(up, up)
         return x
 
-    bits = np.stack([np.frombuffer(x, np.uint8) for x in inner["bits"]])
-    ids, groups, sets = inner["doc_id"].to_numpy(), inner["component"].to_numpy(), list(inner["shingles"])
-    for u, group, own_bits, own in outer[["doc_id", "component", "bits", "shingles"]].itertuples(index=False):
-        same = (bits == np.frombuffer(own_bits, np.uint8)).mean(axis=1)
+    bits = np.stack([np.frombuffer(r[2], np.uint8) for r in inner])
+    bands = np.stack([np.frombuffer(r[3], np.uint32) for r in inner])
+    groups = np.array([r[1] for r in inner])
+    for u, group, own_bits, own_bands, own in outer:
+        mine = np.frombuffer(own_bands, np.uint32)
+        at = int(np.flatnonzero(mine == np.uint32(band & 0xFFFFFFFF))[0])
+        fits = groups != group
+        if at:
+            fits &= ~(bands[:, :at] == mine[:at]).any(axis=1)
+        near = np.flatnonzero(fits)
+        if not len(near):
+            continue
+        same = (bits[near] == np.frombuffer(own_bits, np.uint8)).mean(axis=1)
         estimate = (same - 1 / 256) / (1 - 1 / 256)
+        near = near[estimate >= LEAST_ESTIMATE]
+        estimate = estimate[estimate >= LEAST_ESTIMATE]
         own_set = np.frombuffer(own, np.uint64)
-        for k in np.argsort(-estimate, kind="stable"):
-            if estimate[k] < LEAST_ESTIMATE:
-                break
-            if root(group) != root(groups[k]) and linked(own_set, np.frombuffer(sets[k], np.uint64)):
-                parent[root(group)] = root(groups[k])
-                out.append((int(u), int(ids[k])))
-    return pd.DataFrame(out, columns=["a", "b"])
+        for k in near[np.argsort(-estimate, kind="stable")].tolist():
+            if root(group) != root(int(groups[k])) and linked(own_set, np.frombuffer(inner[k][4], np.uint64)):
+                parent[root(group)] = root(int(groups[k]))
+                out.append((u, inner[k][0]))
+    return out
+
+
+def _further_links(rows: DataFrame) -> DataFrame:
+    """Links of all blocks, from rows sorted by block and side; a task holds one block at a time."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    names = ["band", "ob", "mb", "side", "doc_id", "component", "bits", "bands", "shingles"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark: tuple | None = None
+        sides: tuple[list[tuple], list[tuple]] = ([], [])
+
+        def close() -> pa.RecordBatch:
+            found = _links_of_block(mark[0], *sides) if mark and sides[0] and sides[1] else []
+            sides[0].clear()
+            sides[1].clear()
+            a, b = zip(*found) if found else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+
+        for batch in batches:
+            for band, ob, mb, side, *row in zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)):
+                if (band, ob, mb) != mark:
+                    yield close()
+                    mark = (band, ob, mb)
+                sides[side].append(tuple(row))
+        yield close()
+
+    return rows.select(*names).mapInArrow(work, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,8 +289,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "band", "doc_id", "component", F.lit(1).alias("side"),
         F.explode(all_of("_ob")).alias("ob"), F.pmod(spread, F.col("_mb")).cast("int").alias("mb"),
     )
-    blocks = outsiders.unionByName(others).join(sets.select("doc_id", "bits", "shingles"), "doc_id")
-    rest = blocks.groupBy("band", "ob", "mb").applyInPandas(_links_of_block, "a long, b long")
+    blocks = outsiders.unionByName(others).join(sets.drop("n"), "doc_id").repartition("band", "ob", "mb")
+    rest = _further_links(blocks.sortWithinPartitions("band", "ob", "mb", "side"))
     more = saved(rest.distinct(), "further-links")
     final = components(edges.unionByName(more))
 
