@@ -232,8 +232,8 @@ def _brute(previous, current):
     )
 
 
-@pytest.mark.parametrize("small_pair,per_bucket", [(4096, 1024), (0, 1024), (0, 2)])
-def test_distribution_drift_equals_brute_force(spark, monkeypatch, small_pair, per_bucket):
+@pytest.mark.parametrize("per_bucket", [1024, 2])
+def test_distribution_drift_equals_brute_force(spark, monkeypatch, per_bucket):
     monkeypatch.setattr(D, "_ROWS_PER_BUCKET", per_bucket)
     rng = np.random.default_rng(3)
     groups, rows, vectors = {}, [], []
@@ -248,7 +248,7 @@ def test_distribution_drift_equals_brute_force(spark, monkeypatch, small_pair, p
     out = D.compute_distribution_drift(
         spark.createDataFrame(rows, CHUNKS),
         spark.createDataFrame(vectors, "chunk_id string, embedding array<double>"),
-        digits=None, small_pair=small_pair,
+        digits=None,
     ).collect()
     assert len(out) == 4
     for r in out:
@@ -290,7 +290,7 @@ def test_salted_join_keeps_every_row(spark):
     assert salted_join(big, small, ["k"], "id").select("k", "id", "v").orderBy("id").collect() == plain
 
 
-def test_outliers_in_blocks_equal_broadcast(spark):
+def test_outliers_do_not_depend_on_blocks(spark, monkeypatch):
     rng = np.random.default_rng(5)
     words = "the plan and the cost of a thing in our unit is what we see by far as said with care"
     rows = [
@@ -307,7 +307,8 @@ def test_outliers_in_blocks_equal_broadcast(spark):
     points = frame.where("cluster_id = -1").select("chunk_id", "embedding")
     middles = L.cluster_centroids(frame)
     small = L.nearest_centroid_distance(points, middles)
-    blocks = L.nearest_centroid_distance(points, middles, broadcast_limit=0)
+    monkeypatch.setattr(L, "CENTROIDS_PER_BLOCK", 1)
+    blocks = L.nearest_centroid_distance(points, middles)
     pairs = small.select("chunk_id", F.round("distance", 9).alias("d")).orderBy("chunk_id").collect()
     assert pairs == blocks.select("chunk_id", F.round("distance", 9).alias("d")).orderBy("chunk_id").collect()
     nobody = L.nearest_centroid_distance(points, middles.where("cluster_id = 99"))
@@ -343,6 +344,39 @@ def test_clusterer_separates_and_marks_noise(spark):
     assert all(len(v) == 1 for v in kinds.values())
     plain = L.ThemeClusterer(min_cluster_size=20, noise_fraction=0.0).fit_predict(points)
     assert plain.select("cluster_id").distinct().count() == 3
+
+
+def _groups(spark, n_groups, each, far=()):
+    rng = np.random.default_rng(9)
+    rows = [
+        ("a", f"c{i}", [float(x) for x in rng.normal(size=16) * 0.05 + np.eye(16)[i % n_groups] * 5])
+        for i in range(n_groups * each)
+    ]
+    rows += [("a", f"far{i}", [float(x) for x in v]) for i, v in enumerate(far)]
+    return spark.createDataFrame(rows, "accession_number string, chunk_id string, embedding array<float>")
+
+
+def test_default_clusterer_finds_the_groups_there_are(spark):
+    out = L.ThemeClusterer().fit_predict(_groups(spark, 8, 100)).collect()
+    found = {}
+    for r in out:
+        found.setdefault(r.cluster_id, set()).add(int(r.chunk_id[1:]) % 8)
+    assert len(out) == 800 and sorted(found) == list(range(8)) and all(len(v) == 1 for v in found.values())
+    far = L.ThemeClusterer().fit_predict(_groups(spark, 4, 60, [np.full(16, 40.0)])).collect()
+    assert {r.chunk_id for r in far if r.cluster_id == -1} == {"far0"}
+
+
+def test_few_points_are_one_cluster(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"c{i}", [float(x) for x in rng.normal(size=4)]) for i in range(30)]
+    points = spark.createDataFrame(rows, "chunk_id string, embedding array<float>")
+    got = L.ThemeClusterer(min_cluster_size=40).fit_predict(points).collect()
+    assert len(got) == 30 and {r.cluster_id for r in got} <= {-1, 0}
+    one = L.ThemeClusterer(k=1).fit_predict(points).collect()
+    assert {r.cluster_id for r in one} <= {-1, 0}
+
+
+def test_density_parameters():
     assert L.density_parameters("small") == {"min_cluster_size": 15, "min_samples": 5}
     assert L.density_parameters("other") == {"min_cluster_size": 40, "min_samples": 8}
 

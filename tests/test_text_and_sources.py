@@ -433,7 +433,7 @@ def test_embedding_store_encodes_only_new_or_changed(spark, tmp_path):
     frame = lambda *rows: spark.createDataFrame(list(rows), "chunk_id string, text string")
 
     def encode(missing):
-        seen.append(sorted(r.chunk_id for r in missing.collect()))
+        seen.append(sorted(r.text for r in missing.collect()))
         return E.hashing_embeddings(missing, dimension=16)
 
     store = E.EmbeddingStore(spark, path)
@@ -441,12 +441,23 @@ def test_embedding_store_encodes_only_new_or_changed(spark, tmp_path):
         store.load()
     store.get_or_compute(frame(("a", "alpha text"), ("b", "beta text")), encode)
     out = store.get_or_compute(frame(("a", "alpha text"), ("b", "changed"), ("c", "new words")), encode)
-    assert seen == [["a", "b"], ["b", "c"]]
+    assert seen == [["alpha text", "beta text"], ["changed", "new words"]]
     rows = out.collect()
     assert sorted(r.chunk_id for r in rows) == ["a", "b", "c"]
     assert all(abs(np.linalg.norm(r.embedding) - 1) < 1e-5 for r in rows)
 
 
+def test_store_keeps_texts_apart_that_share_an_id(spark, tmp_path):
+    schema = "accession_number string, chunk_id string, text string"
+    rows = [("x", "c1", "first text"), ("y", "c1", "other words"), ("y", "c2", "first text"), ("x", "c3", None)]
+    store = E.EmbeddingStore(spark, str(tmp_path / "store"))
+    out = store.get_or_compute(spark.createDataFrame(rows, schema), lambda df: E.hashing_embeddings(df, dimension=32))
+    got = {(r.accession_number, r.chunk_id): r.embedding for r in out.collect()}
+    assert len(got) == out.count() == 4 and store.load().count() == 3
+    alone = E.hashing_embeddings(spark.createDataFrame(rows, schema), dimension=32).collect()
+    assert got == {(r.accession_number, r.chunk_id): r.embedding for r in alone}
+
+
 def test_model_embeddings_fail_loudly(spark):
     frame = spark.createDataFrame([("a", "x"), ("b", None)], "chunk_id string, text string")
     good = E.model_embeddings(frame, lambda: lambda texts: np.array([[3.0, 4.0]] * len(texts)))
@@ -540,7 +551,17 @@ def test_streaming_refresh_takes_each_filing_once(spark, tmp_path):
     refresh(spark, source, out, check, str(tmp_path / "vectors")).awaitTermination()
     stored = spark.read.parquet(out)
     assert stored.count() == 2 * first and stored.select("chunk_id").distinct().count() == 2 * first
-    assert spark.read.parquet(str(tmp_path / "vectors")).count() == 2 * first
+    texts = stored.select("text").distinct().count()
+    assert spark.read.parquet(str(tmp_path / "vectors")).count() == texts
+    # An amendment of the same year shares the chunk ids; its chunks and a corrected text are kept.
+    spark.createDataFrame(
+        [(f"{1:010d}", "a1-amended", 2020, f"<h1>Item 1A</h1><p>{LONG * 20}</p>"),
+         (f"{2:010d}", "a2", 2020, f"<h1>Item 1A</h1><p>{'Corrected. ' + LONG * 20}</p>")],
+        "cik string, accession_number string, fiscal_year int, html string").write.mode("append").parquet(source)
+    refresh(spark, source, out, check, str(tmp_path / "vectors")).awaitTermination()
+    stored = spark.read.parquet(out)
+    assert stored.where("accession_number = 'a1-amended'").count() == first
+    assert stored.where("accession_number = 'a2' and text like 'Corrected.%'").count() == 1
 
 
 def test_stages_end_to_end(spark, tmp_path, capsys):
@@ -558,6 +579,8 @@ def test_stages_end_to_end(spark, tmp_path, capsys):
             body = "".join(f"<p>{p}</p>\n\n" for p in paragraphs)
             rows.append((f"bronze/{cik}/{year}", f"{cik:010d}", f"acc-{cik}-{year}", year, "document", "u", None, None,
                          200, None, "agent", "2024", f"<h1>Item 1A</h1>{body}<h1>Item 2</h1>".encode()))
+    twice = [r for r in rows if r[2] == "acc-1-2022"][0]
+    rows.append((*twice[:2], "acc-1-2022-amended", *twice[3:]))  # two filings of one entity and year
     rows.append(("bronze/9/2023", "0000000009", "acc-9", 2023, "document", "u", None, None, 200, None, "agent", "2024", b"<p>x</p>"))
     spark.createDataFrame(rows, bronze.FETCHED_SCHEMA).write.partitionBy("fiscal_year").parquet(layers.bronze)
     Path(base, "overrides").mkdir()
@@ -567,11 +590,20 @@ def test_stages_end_to_end(spark, tmp_path, capsys):
     assert code == 0, shown
     assert "ingestion   skipped" in shown
     gold = {n: gold_layer.read_table(spark, layers.gold, n) for n in S.GOLD_TABLES}
+    chunks, clusters = (spark.read.parquet(layers.silver(t)) for t in ("chunks", "clusters"))
+    one = "cik = '0000000001' and fiscal_year = 2022"
+    amended = chunks.where(one)
+    assert amended.count() == 2 * amended.select("chunk_id").distinct().count() > 0
+    assert clusters.count() == chunks.count()
+    counted = spark.read.parquet(layers.silver("intensity")).where(one).agg(F.sum("chunk_count")).first()[0]
+    noise = clusters.join(amended.select("accession_number", "chunk_id"), ["accession_number", "chunk_id"]).where("cluster_id = -1").count()
+    assert counted == amended.count() - noise
     assert gold["explanations"].count() == 6 and gold["companies"].count() == 4
     assert gold["themes"].where("override_flag").first().label == "Reviewed Theme"
     assert gold["theme_intensity"].count() == gold["theme_changes"].count() > 0
     referenced = {i for r in gold["explanations"].collect() for i in r.evidence_chunk_ids}
     assert {r.chunk_id for r in gold["evidence_chunks"].collect()} == referenced
+    assert spark.read.parquet(layers.silver("chunks")).select("accession_number", "chunk_id").distinct().count() == chunks.count()
     quality = {r.fiscal_year: r for r in gold["data_quality"].collect()}
     assert quality[2023].failed_extractions == 1 and quality[2022].extraction_success_rate == 1.0
     sizes = gold_layer.check_sizes(spark, {"themes": gold_layer.table_path(layers.gold, "themes"), "none": base + "/none"})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CIK_WIDTH = 10  # fixed value: width of a padded entity key
@@ -44,6 +44,16 @@ def chunk_id(cik: Column, fiscal_year: Column, section: Column, index: Column) -
     )
 
 
+#: A chunk is told apart by its filing and its id: an original and its amendment share ids.
+CHUNK_IDENTITY = ("accession_number", "chunk_id")
+
+
+def chunk_identity(*frames: DataFrame) -> list[str]:
+    """The identity columns that all frames have; frames without filings go by the chunk id."""
+    shared = set.intersection(*[set(f.columns) for f in frames])
+    return [c for c in CHUNK_IDENTITY if c in shared]
+
+
 def change_id(cik: Column, cluster_id: Column, fiscal_year: Column) -> Column:
     """``{cik}_{cluster}_{year}``"""
     return F.concat_ws(

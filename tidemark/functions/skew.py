@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_SALTS = 16
+#: A looked-up table of at most so many rows is broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def salted_join(
     big: DataFrame,
     small: DataFrame,
     keys: list[str],
-    spread_by: str,
+    spread_by: str | Column,
     salts: int = DEFAULT_SALTS,
     how: str = "inner",
 ) -> DataFrame:
@@ -25,3 +27,16 @@ def salted_join(
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_big.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def lookup_join(
+    big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[str], how: str = "inner"
+) -> DataFrame:
+    """Join with a table of one row per key, such as themes: broadcast once its rows are counted and
+    few, so that the big side is not shuffled on few values; salted otherwise.
+
+    ``small`` should be cheap to count: a stored, checkpointed or aggregated table.
+    """
+    if small.count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), keys, how)
+    return salted_join(big, small, keys, spread_by[0] if len(spread_by) == 1 else F.struct(*spread_by), how=how)

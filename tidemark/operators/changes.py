@@ -11,7 +11,6 @@ from tidemark.session import cut_lineage
 
 CHANGE_KEY = ("cik", "cluster_id", "fiscal_year")
 DEFAULT_TOP = 500  # fixed value: how many ranked changes are explained
-MAX_TOP_FOR_LOCAL_RANK = 100_000
 TIE_DIGITS = 12
 
 
@@ -143,12 +142,9 @@ def top_changes(
 ) -> DataFrame:
     """Rank only the ``n`` most material changes.
 
-    Top-n first (each task keeps n rows), then the rank over those n rows; the drift join
-    therefore sees n rows too. Prefer this to ranking everything when only the top is read.
+    Top-n first (each task keeps n rows), then the offsets rank over those n rows; the drift
+    join therefore sees n rows too. Prefer this to ranking everything when only the top is read.
     """
-    if n > MAX_TOP_FOR_LOCAL_RANK:
-        return get_top_changes(rank_changes(changes, centroid_drift), n)
     best = changes.orderBy(*_by_materiality()).limit(n)
-    place = F.row_number().over(Window.orderBy(*_by_materiality()))
-    ranked = best.withColumn("rank", place.cast("long"))
+    ranked = rank_changes(best.drop("centroid_drift") if centroid_drift is not None else best)
     return attach_drift(ranked, centroid_drift)

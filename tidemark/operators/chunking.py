@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,8 +64,14 @@ def chunk_sections(
     ).select(*CHUNK_COLUMNS)
 
 
-def duplicate_chunk_ids(chunks: DataFrame) -> DataFrame:
+def duplicate_chunk_ids(chunks: DataFrame, keys: Sequence[str] = ("chunk_id",)) -> DataFrame:
     """Ids used more than once (an original and its amendment in one year share ids)."""
-    return (
-        chunks.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    )
+    return chunks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def assert_unique_chunks(chunks: DataFrame) -> DataFrame:
+    """``chunks``, or an error when filing and id do not tell them apart."""
+    found = duplicate_chunk_ids(chunks, I.chunk_identity(chunks)).take(3)
+    if found:
+        raise ValueError(f"chunks are not unique: {[r.asDict() for r in found]}")
+    return chunks

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow.dataset as ds
+from pyarrow import fs
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import text as X
 from tidemark.functions import vectors as V
-from tidemark.functions.skew import salted_join
 from tidemark.operators.intensity import NOISE_CLUSTER
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, shared_folder
 
 # Reduced dimension, seed, outlier count, score decimals, fallback cluster limit.
 REDUCED_DIMENSION = 12
@@ -32,10 +35,8 @@ DENSITY_PARAMETERS = {
     "medium": {"min_cluster_size": 25, "min_samples": 5},
     "full": {"min_cluster_size": 40, "min_samples": 8},
 }
-# Centroids travel to the workers in blocks; one block is at most this many rows.
+# Centroids pass the points in blocks; one block is at most this many rows.
 CENTROIDS_PER_BLOCK = 1024
-BLOCK_SALTS = 64
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def density_parameters(scale: str) -> dict[str, int]:
@@ -88,65 +89,40 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(length == 0.0, 1.0, length)
 
 
-def _closest(vectors: pd.Series, directions: np.ndarray) -> np.ndarray:
-    unit = _unit_rows(np.stack(vectors.to_numpy()).astype("float64"))
-    return np.clip((1.0 - unit @ directions.T).min(axis=1), 0.0, 2.0)
+def _blocks(folder: str) -> Iterator[np.ndarray]:
+    """Directions of the stored centroids, a bounded block at a time."""
+    store, path = fs.FileSystem.from_uri(folder)
+    for batch in ds.dataset(path, filesystem=store, format="parquet").to_batches(
+        batch_size=CENTROIDS_PER_BLOCK
+    ):
+        if batch.num_rows:
+            yield _unit_rows(np.array(batch.column("centroid").to_pylist(), dtype="float64"))
 
 
-def nearest_centroid_distance(
-    points: DataFrame, centroids: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES
-) -> DataFrame:
-    """``points`` (with ``chunk_id, embedding``) plus ``distance`` to the closest centroid.
+def nearest_centroid_distance(points: DataFrame, centroids: DataFrame) -> DataFrame:
+    """``points`` (with ``embedding``) plus ``distance`` to the closest centroid.
 
-    Distances fold into a running minimum, they are never listed pair by pair. While the
-    centroids are proven small they are broadcast: no join and no shuffle of the points. Past
-    that size each point meets one block of centroids at a time and the minimum is kept.
+    The centroids are written once to the shared folder; every task streams them past its batches
+    of points in blocks and keeps the least distance. Points are neither joined nor shuffled, and
+    memory does not depend on the number of centroids.
     """
-    table = cut_lineage(centroids.select("cluster_id", "centroid").dropna())
-    shape = table.agg(
-        F.count("centroid").alias("n"), F.coalesce(F.max(F.size("centroid")), F.lit(0)).alias("d")
-    ).first()
-    if shape["n"] == 0:
+    folder = f"{shared_folder(points.sparkSession)}/tidemark-centroids-{uuid.uuid4().hex}"
+    table = centroids.select("centroid").dropna()
+    table.write.parquet(folder)
+    if points.sparkSession.read.schema(table.schema).parquet(folder).isEmpty():
         return points.withColumn("distance", F.lit(0.0)).limit(0)
-    if shape["n"] * shape["d"] * 8 <= broadcast_limit:
-        rows = table.orderBy("cluster_id").collect()
-        shared = points.sparkSession.sparkContext.broadcast(
-            _unit_rows(np.array([r["centroid"] for r in rows], dtype="float64"))
-        )
-
-        @F.pandas_udf(T.DoubleType())
-        def nearest(vectors: pd.Series) -> pd.Series:
-            return pd.Series(_closest(vectors, shared.value) if len(vectors) else [], dtype="float64")
-
-        return points.withColumn("distance", nearest("embedding"))
-    return _nearest_by_block(points, table, -(-shape["n"] // CENTROIDS_PER_BLOCK))
-
 
-def _nearest_by_block(points: DataFrame, table: DataFrame, blocks: int) -> DataFrame:
-    """Blocks of centroids meet the points in an equi-join on the block number."""
-    matrices = table.groupBy(
-        F.pmod(F.xxhash64("cluster_id"), F.lit(blocks)).cast("int").alias("block")
-    ).agg(F.collect_list("centroid").alias("matrix"))
+    @F.pandas_udf(T.DoubleType())
+    def nearest(vectors: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype="float64")
+        unit = _unit_rows(np.stack(vectors.to_numpy()).astype("float64"))
+        best = np.full(len(unit), 2.0)
+        for block in _blocks(folder):
+            best = np.minimum(best, (1.0 - unit @ block.T).min(axis=1))
+        return pd.Series(np.clip(best, 0.0, 2.0))
 
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for _, part in frame.groupby("block"):
-                directions = _unit_rows(np.stack(part["matrix"].iloc[0]).astype("float64"))
-                yield pd.DataFrame(
-                    {"chunk_id": part["chunk_id"], "d": _closest(part["embedding"], directions)}
-                )
-
-    spread = points.select(
-        "chunk_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    )
-    met = salted_join(spread, matrices, ["block"], "chunk_id", salts=BLOCK_SALTS)
-    kind = points.schema["chunk_id"].dataType.simpleString()
-    best = (
-        met.mapInPandas(fold, f"chunk_id {kind}, d double")
-        .groupBy("chunk_id")
-        .agg(F.min("d").alias("distance"))
-    )
-    return points.join(best, "chunk_id")
+    return points.withColumn("distance", nearest("embedding"))
 
 
 def novel_outliers(
@@ -181,23 +157,99 @@ def novel_outliers(
     )
 
 
+def dense_groups(
+    sample: np.ndarray, share: float, min_cluster_size: int, min_samples: int
+) -> np.ndarray:
+    """Centres of the dense groups of a sample, one per row; none when nothing is dense.
+
+    Two points are neighbours within twice the median distance to the ``min_samples``-th nearest
+    point. Points with that many neighbours connect; connected points are a group if it has
+    ``min_cluster_size`` members, in proportion to the ``share`` of all points in the sample.
+    """
+    n = len(sample)
+    if n <= min_samples:
+        return np.empty((0, sample.shape[1] if n else 0))
+    square = (sample**2).sum(axis=1)
+    gap = np.sqrt(np.maximum(square[:, None] + square - 2.0 * sample @ sample.T, 0.0))
+    reach = 2.0 * np.median(np.partition(gap, min_samples, axis=1)[:, min_samples])
+    near = gap <= reach
+    core = near.sum(axis=1) > min_samples
+    group = np.full(n, -1)
+    for start in np.flatnonzero(core):
+        if group[start] >= 0:
+            continue
+        group[start] = start
+        edge = np.array([start])
+        while len(edge):
+            reached = near[edge].any(axis=0) & core & (group < 0)
+            edge = np.flatnonzero(reached)
+            group[edge] = start
+    names, sizes = np.unique(group[group >= 0], return_counts=True)
+    least = max(min_samples, min_cluster_size * share)
+    return np.array([sample[group == g].mean(axis=0) for g in names[sizes >= least]]).reshape(
+        -1, sample.shape[1]
+    )
+
+
 @dataclass
 class ThemeClusterer:
-    """Reduce dimensions, cluster, mark far points as noise; all with Spark ML.
+    """Reduce dimensions, cluster, mark far points as noise.
 
-    Spark has no density clustering. This stands in for it: PCA, then k-means, then the
-    farthest ``noise_fraction`` of the points become noise. With ``k`` unset the number of
-    clusters is the fallback rule (members // min_cluster_size, between 1 and 3).
+    Spark has no density clustering. With ``k`` given, this is PCA and Spark ML's k-means. With
+    ``k`` unset, the number and the first centres of the clusters are the dense groups of a bounded
+    sample (``sample_rows``); all points go to the nearest centre, and once more after the centres
+    have moved to the means. Only when nothing is dense, the fallback rule holds: members //
+    min_cluster_size clusters, between 1 and 3.
+
+    A point is noise when it is farther from its centre than ``noise_ratio`` times the median
+    distance in its cluster; there may be none. ``noise_fraction`` makes the farthest share of all
+    points noise instead.
     """
 
     k: int | None = None
     min_cluster_size: int = 20
+    min_samples: int = 5
     components: int = REDUCED_DIMENSION
-    noise_fraction: float = 0.1
+    noise_ratio: float = 3.0
+    noise_fraction: float | None = None
+    sample_rows: int = 4000
     seed: int = SEED
 
+    @classmethod
+    def for_scale(cls, scale: str, **given) -> ThemeClusterer:
+        """A clusterer with the density parameters of a scale preset."""
+        return cls(**{**density_parameters(scale), **given})
+
+    def _centres(self, reduced: DataFrame, keys: list[str]) -> np.ndarray:
+        total = reduced.count()
+        k = self.k
+        if k is None:
+            chosen = reduced.orderBy(F.xxhash64(*keys), *keys).limit(self.sample_rows)
+            rows = chosen.select(vector_to_array("_r").alias("r")).collect()
+            sample = np.array([r["r"] for r in rows], dtype="float64").reshape(len(rows), -1)
+            found = dense_groups(
+                sample, len(rows) / max(1, total), self.min_cluster_size, self.min_samples
+            )
+            if len(found):
+                return self._moved(reduced, found)
+            k = max(1, min(FALLBACK_CLUSTERS, total // max(1, self.min_cluster_size)))
+        if k == 1 or total <= 1:
+            means = reduced.agg(Summarizer.mean(F.col("_r")).alias("m")).first()["m"]
+            return np.array([means.toArray()]) if total else np.zeros((1, 1))
+        fitted = KMeans(k=k, seed=self.seed, featuresCol="_r", predictionCol="_c").fit(reduced)
+        return np.array(fitted.clusterCenters())
+
+    def _moved(self, reduced: DataFrame, centres: np.ndarray) -> np.ndarray:
+        placed = reduced.select("_r", _nearest(centres)[0].alias("_c"))
+        means = placed.groupBy("_c").agg(Summarizer.mean(F.col("_r")).alias("m")).collect()
+        moved = centres.copy()
+        for row in means:
+            moved[row["_c"]] = row["m"].toArray()
+        return moved
+
     def fit_predict(self, points: DataFrame) -> DataFrame:
-        """``chunk_id, embedding, cluster_id`` for every row of ``chunk_id, embedding``."""
+        """``points`` (identity columns and ``embedding``) with ``cluster_id``."""
+        keys = [c for c in points.columns if c != "embedding"]
         source = points.withColumn("_v", array_to_vector(F.col("embedding").cast("array<double>")))
         size = V.vector_dimension(points, "embedding")
         if size > self.components:
@@ -205,29 +257,32 @@ class ThemeClusterer:
             reduced = reducer.transform(source)
         else:
             reduced = source.withColumn("_r", F.col("_v"))
-        k = self.k or max(
-            1, min(FALLBACK_CLUSTERS, points.count() // max(1, self.min_cluster_size))
-        )
-        model = KMeans(k=k, seed=self.seed, featuresCol="_r", predictionCol="_c").fit(reduced)
-        placed = model.transform(reduced)
-        if self.noise_fraction <= 0.0:
-            return placed.select("chunk_id", "embedding", F.col("_c").alias("cluster_id"))
-        # k centres of a few dimensions: a constant lookup, not data.
-        centres = F.array(
-            *[F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()]
-        )
-        gap = F.zip_with(
-            vector_to_array("_r"), F.get(centres, F.col("_c")), lambda a, b: (a - b) * (a - b)
-        )
-        distance = F.aggregate(gap, F.lit(0.0), lambda acc, v: acc + v)
-        measured = cut_lineage(placed.select("chunk_id", "embedding", "_c", distance.alias("_d")))
-        limit = measured.agg(
-            F.percentile_approx("_d", 1.0 - self.noise_fraction, 10_000).alias("t")
-        ).first()["t"]
-        return measured.select(
-            "chunk_id",
-            "embedding",
-            F.when(F.col("_d") > (limit or 0.0), F.lit(NOISE_CLUSTER))
-            .otherwise(F.col("_c"))
-            .alias("cluster_id"),
+        cluster, distance = _nearest(self._centres(reduced, keys))
+        measured = cut_lineage(
+            reduced.select(*keys, "embedding", cluster.alias("_c"), distance.alias("_d"))
         )
+        if self.noise_fraction is not None:
+            share = 1.0 - self.noise_fraction
+            edge = measured.agg(F.percentile_approx("_d", share, 10_000).alias("t")).first()["t"]
+            far = F.col("_d") > F.lit(edge if edge is not None else 0.0)
+        else:
+            middles = measured.groupBy("_c").agg(F.percentile_approx("_d", 0.5, 10_000).alias("t"))
+            limits = {r["_c"]: r["t"] * self.noise_ratio for r in middles.collect()}
+            far = F.lit(False)
+            for c, limit in limits.items():
+                far = far | ((F.col("_c") == c) & (F.col("_d") > F.lit(limit)))
+        noise = F.when(far, F.lit(NOISE_CLUSTER)).otherwise(F.col("_c"))
+        return measured.select(*keys, "embedding", noise.alias("cluster_id"))
+
+
+def _nearest(centres: np.ndarray) -> tuple[Column, Column]:
+    """Number of the nearest of a few centres, and the distance to it, of the vectors in ``_r``."""
+    own = vector_to_array("_r")
+    table = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])
+
+    def gap(centre: Column) -> Column:
+        squares = F.zip_with(own, centre, lambda a, b: (a - b) * (a - b))
+        return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v))
+
+    best = F.array_min(F.transform(table, lambda c, i: F.struct(gap(c).alias("d"), i.alias("c"))))
+    return best["c"].cast("int"), best["d"]

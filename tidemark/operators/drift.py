@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import identifiers as I
 from tidemark.functions import vectors as V
 from tidemark.functions.scoring import PERMUTATIONS, SIGNIFICANCE_LEVEL, clip
 from tidemark.functions.skew import salted_join
@@ -21,22 +22,27 @@ from tidemark.session import cut_lineage
 PAIR = ("cik", "cluster_id", "fiscal_year")
 DRIFT_DIGITS = 4  # fixed value: decimals of published drift figures
 _TIE_SLACK = 1e-12
-# Pairs up to this many members are thresholded inside one row, larger ones by hash buckets.
-SMALL_PAIR = 4096
+# Hash prefixes are as long as it takes to have about so many keys in each.
 _ROWS_PER_BUCKET = 1024
+_MAX_PREFIX = 32  # fixed value: hexadecimal digits of the hash
 
 
 def with_embeddings(
     chunks: DataFrame, embeddings: DataFrame, exclude_noise: bool = False
 ) -> DataFrame:
-    """Chunk keys with their vector (NULL when a chunk has none)."""
+    """Chunk keys with their vector (NULL when a chunk has none).
+
+    Where both sides name the filing, it becomes part of ``chunk_id``, so that ids stay unique.
+    """
+    ids = I.chunk_identity(chunks, embeddings)
     assert_columns(chunks, ("chunk_id", *PAIR), "with_embeddings:chunks")
     assert_columns(embeddings, ("chunk_id", "embedding"), "with_embeddings:embeddings")
     if not isinstance(embeddings.schema["embedding"].dataType, T.ArrayType):
         raise ValueError("embedding must be an array column, one vector per row")
     kept = drop_noise(chunks) if exclude_noise else chunks.dropna(subset=list(PAIR))
-    keys = kept.select("chunk_id", *PAIR)
-    return keys.join(embeddings.select("chunk_id", "embedding"), "chunk_id", "left")
+    keys = kept.select(*ids, *PAIR)
+    joined = keys.join(embeddings.select(*ids, "embedding"), ids, "left")
+    return joined.select(F.concat_ws("/", *ids).alias("chunk_id"), *PAIR, "embedding")
 
 
 def version_centroids(
@@ -138,35 +144,15 @@ def _pair_members(members: DataFrame) -> DataFrame:
     )
 
 
-def _small_thresholds(sized_ids: DataFrame, iterations: int) -> DataFrame:
-    """Pairs of bounded size: ids gathered per pair, n-th smallest key per iteration in place."""
-    # Hashing 60 times per id is work beyond the size of the ids, so keep every partition; the
-    # grouping needs this shuffle in any case.
-    parts = int(sized_ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    gathered = sized_ids.repartition(parts, *PAIR).groupBy(*PAIR).agg(
-        F.collect_list("chunk_id").alias("ids"), F.first("n_current").alias("n_current")
-    )
-    return gathered.select(
-        *PAIR,
-        F.transform(
-            F.sequence(F.lit(1), F.lit(iterations)),
-            lambda i: F.get(
-                F.array_sort(F.transform("ids", lambda c: _shuffle_key(c, i))),
-                F.col("n_current").cast("int") - 1,
-            ),
-        ).alias("thresholds"),
-    )
-
-
-def _large_thresholds(sized_ids: DataFrame, iterations: int) -> DataFrame:
-    """Pairs of any size: count keys per hash prefix, rank only inside the deciding prefix.
+def _thresholds(sized_ids: DataFrame, iterations: int) -> DataFrame:
+    """Thresholds of each pair: count keys per hash prefix, rank only inside the deciding prefix.
 
     The prefix grows with the pair, so the ranked rest stays near a thousand keys. Counts
     combine before the shuffle, and only rows of the deciding prefix are shuffled one by one.
     """
     total = F.col("n_current") + F.col("n_previous")
     digits = F.least(
-        F.lit(5),
+        F.lit(_MAX_PREFIX),
         F.greatest(F.lit(0), F.ceil(F.log(16.0, total / F.lit(float(_ROWS_PER_BUCKET))))),
     ).cast("int")
     keyed = (
@@ -214,7 +200,6 @@ def permutation_p_values(
     pairs: DataFrame,
     dimension: int | None = None,
     iterations: int = PERMUTATIONS,
-    small_pair: int = SMALL_PAIR,
 ) -> DataFrame:
     """Share of random regroupings whose centroid drift reaches the observed one.
 
@@ -229,10 +214,7 @@ def permutation_p_values(
     ids = salted_join(
         _pair_members(members).select(*PAIR, "chunk_id"), sizes, list(PAIR), "chunk_id"
     )
-    total = F.col("n_current") + F.col("n_previous")
-    thresholds = _small_thresholds(ids.where(total <= small_pair), iterations).unionByName(
-        _large_thresholds(ids.where(total > small_pair), iterations)
-    )
+    thresholds = _thresholds(ids, iterations)
     joined = salted_join(
         _pair_members(members).select(*PAIR, "chunk_id", "embedding"),
         thresholds,
@@ -273,14 +255,13 @@ def compute_distribution_drift(
     exclude_noise: bool = False,
     iterations: int = PERMUTATIONS,
     digits: int | None = DRIFT_DIGITS,
-    small_pair: int = SMALL_PAIR,
 ) -> DataFrame:
     """Centroid drift, energy distance, p-value, boilerplate index per pair of adjacent years."""
     members = with_embeddings(chunks, embeddings, exclude_noise)
     size = dimension or V.vector_dimension(embeddings, "embedding")
     # One row per pair, read three times below: cut off so that vectors are averaged once.
     pairs = cut_lineage(adjacent_pairs(members, size))
-    p_values = permutation_p_values(members, pairs, size, iterations, small_pair)
+    p_values = permutation_p_values(members, pairs, size, iterations)
     return pairs.join(p_values, list(PAIR)).select(
         *PAIR,
         _published(F.col("centroid_drift"), digits).alias("centroid_drift"),

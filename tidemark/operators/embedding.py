@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import identifiers as I
 from tidemark.functions import text as X
 from tidemark.functions import vectors as V
 from tidemark.schemas import assert_columns
@@ -78,7 +79,8 @@ def missing_embeddings(
 
 
 class EmbeddingStore:
-    """Parquet folder of ``chunk_id, content_key, embedding``; only new chunks are encoded."""
+    """Parquet folder of ``content_key, embedding``: one vector per distinct text and model, encoded
+    once, whatever the ids of the chunks that have it."""
 
     def __init__(self, spark: SparkSession, path: str, model: str = HASHING_MODEL):
         self.spark, self.path, self.model = spark, path, model
@@ -97,19 +99,22 @@ class EmbeddingStore:
         encode: Callable[[DataFrame], DataFrame] | None = None,
         text_col: str = "text",
     ) -> DataFrame:
-        """Encode what is missing, append it, return ``chunk_id, embedding`` of all chunks."""
+        """Encode what is missing, append it, return identity and ``embedding`` of all chunks.
+
+        The encoder gets distinct texts, with the content key as ``chunk_id``.
+        """
         assert_columns(chunks, ("chunk_id", text_col), "get_or_compute")
-        keyed = chunks.withColumn("content_key", content_key(F.col(text_col), self.model))
-        missing = (
-            missing_embeddings(chunks, self.load(), self.model, text_col)
-            if self._exists()
-            else keyed
-        )
+        text = F.coalesce(F.col(text_col), F.lit(""))
+        keyed = chunks.withColumn("content_key", content_key(text, self.model))
+        texts = keyed.select(F.col("content_key").alias("chunk_id"), text.alias(text_col))
+        missing = texts.dropDuplicates(["chunk_id"])
+        if self._exists():
+            known = self.load().select(F.col("content_key").alias("chunk_id"))
+            missing = missing.join(known, "chunk_id", "left_anti")
         encoder = encode or (lambda df: hashing_embeddings(df, text_col))
-        vectors = encoder(missing).select("chunk_id", "embedding")
-        fresh = missing.select("chunk_id", "content_key").join(vectors, "chunk_id")
+        fresh = encoder(missing).select(F.col("chunk_id").alias("content_key"), "embedding")
         fresh.write.mode("append").parquet(self.path)
-        wanted = keyed.select("chunk_id", "content_key")
-        # Two runs may both have appended a chunk; keep one row per key.
-        stored = self.load().dropDuplicates(["chunk_id", "content_key"])
-        return wanted.join(stored, ["chunk_id", "content_key"]).select("chunk_id", "embedding")
+        wanted = keyed.select(*I.chunk_identity(chunks), "content_key")
+        # Two runs may both have appended a text; keep one row per key.
+        stored = self.load().dropDuplicates(["content_key"])
+        return wanted.join(stored, "content_key").drop("content_key")

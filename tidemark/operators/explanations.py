@@ -27,6 +27,12 @@ SYSTEM_PROMPT = (
     "You explain changes in company disclosures to financial analysts. Be concise, rely only "
     "on the excerpts you are given and do not speculate."
 )
+# The sentences of the template.
+RISE, FALL, SHIFT = "significant increase", "significant decrease", "moderate shift"
+SAME_WORDING = "language used remained largely consistent"
+OTHER_WORDING = "language evolved noticeably across years"
+NEW_WORDING = "language changed substantially, suggesting a reframing of the topic"
+NO_DRIFT = "The centroid drift is not measurable for this pair of years."
 _KEY = ("cik", "cluster_id", "fiscal_year")
 # Below this many changes the wanted keys are a proven small table and may be broadcast.
 BROADCAST_ROWS = 10_000
@@ -100,19 +106,17 @@ def template_text(frame: DataFrame, label: Column) -> Column:
     delta = F.col("intensity_delta")
     drift = F.col("centroid_drift")
     direction = (
-        F.when(delta > DIRECTION_THRESHOLD, F.lit("significant increase"))
-        .when(delta < -DIRECTION_THRESHOLD, F.lit("significant decrease"))
-        .otherwise(F.lit("moderate shift"))
+        F.when(delta > DIRECTION_THRESHOLD, F.lit(RISE))
+        .when(delta < -DIRECTION_THRESHOLD, F.lit(FALL))
+        .otherwise(F.lit(SHIFT))
     )
     wording = (
-        F.when(drift < DRIFT_LOW, F.lit("language used remained largely consistent"))
-        .when(drift < DRIFT_HIGH, F.lit("language evolved noticeably across years"))
-        .otherwise(
-            F.lit("language changed substantially, suggesting a reframing of the topic")
-        )
+        F.when(drift < DRIFT_LOW, F.lit(SAME_WORDING))
+        .when(drift < DRIFT_HIGH, F.lit(OTHER_WORDING))
+        .otherwise(F.lit(NEW_WORDING))
     )
     drift_sentence = F.when(
-        drift.isNull(), F.lit("The centroid drift is not measurable for this pair of years.")
+        drift.isNull(), F.lit(NO_DRIFT)
     ).otherwise(
         F.concat(
             F.lit("The centroid drift of "),

@@ -11,9 +11,8 @@ from tidemark.functions.scoring import CHANGE_TYPES, clip, safe_ratio
 from tidemark.operators.changes import attach_drift
 from tidemark.operators.intensity import NOISE_CLUSTER, unique_labels
 
-# Year used for an entity without any intensity row; cap on evidence rows.
+# Fixed value: year used for an entity without any intensity row.
 UNKNOWN_YEAR = 1993
-MAX_EVIDENCE_CHUNKS = 50_000
 
 
 def companies_table(ciks: DataFrame, metadata: DataFrame, intensity: DataFrame) -> DataFrame:

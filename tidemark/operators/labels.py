@@ -7,9 +7,11 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import identifiers as I
 from tidemark.functions import text as X
 from tidemark.functions import vectors as V
-from tidemark.functions.stopwords import ENGLISH_STOP_WORDS
+from tidemark.functions.skew import lookup_join
+from tidemark.functions.stopwords import english_stop_words
 from tidemark.operators.intensity import NOISE_CLUSTER, unique_labels
 from tidemark.schemas import assert_columns
 
@@ -20,11 +22,12 @@ EXCERPT_CHARS = 500
 
 
 def term_counts(
-    texts: DataFrame, text_col: str = "text", stop_words: Iterable[str] = ENGLISH_STOP_WORDS
+    texts: DataFrame, text_col: str = "text", stop_words: Iterable[str] | None = None
 ) -> DataFrame:
     """Occurrences of one- and two-word terms per theme, combined before the shuffle."""
     # Two projections: the token array is used several times and must be computed once.
-    tokenized = texts.select("cluster_id", X.tokens(F.col(text_col), stop_words).alias("tokens"))
+    skipped = english_stop_words() if stop_words is None else stop_words
+    tokenized = texts.select("cluster_id", X.tokens(F.col(text_col), skipped).alias("tokens"))
     listed = tokenized.select("cluster_id", F.explode(X.terms(F.col("tokens"))).alias("term"))
     return listed.groupBy("cluster_id", "term").agg(F.count(F.lit(1)).alias("n"))
 
@@ -33,7 +36,7 @@ def keyword_labels(
     texts: DataFrame,
     text_col: str = "text",
     top: int = TERMS_PER_LABEL,
-    stop_words: Iterable[str] = ENGLISH_STOP_WORDS,
+    stop_words: Iterable[str] | None = None,
 ) -> DataFrame:
     """The most frequent terms of each theme as its label; later terms win ties.
 
@@ -56,31 +59,32 @@ def keyword_labels(
 def representative_chunks(
     chunks: DataFrame, embeddings: DataFrame, centroids: DataFrame, top: int = REPRESENTATIVES
 ) -> DataFrame:
-    """The members of each theme closest to its centroid: ``cluster_id, chunk_id, place``."""
+    """The members of each theme closest to its centroid: ``cluster_id``, identity, ``place``."""
     assert_columns(chunks, ("chunk_id", "cluster_id"), "representative_chunks")
-    near = (
+    ids = I.chunk_identity(chunks, embeddings)
+    members = (
         chunks.where(F.col("cluster_id") != NOISE_CLUSTER)
-        .select("chunk_id", "cluster_id")
-        .join(embeddings.select("chunk_id", "embedding"), "chunk_id")
-        .join(centroids.select("cluster_id", "centroid"), "cluster_id")
-        .select(
-            "cluster_id",
-            "chunk_id",
-            V.cosine_distance(F.col("embedding"), F.col("centroid")).alias("distance"),
-        )
+        .select(*ids, "cluster_id")
+        .join(embeddings.select(*ids, "embedding"), ids)
+    )
+    near = lookup_join(members, centroids.select("cluster_id", "centroid"), ["cluster_id"], ids).select(
+        "cluster_id",
+        *ids,
+        V.cosine_distance(F.col("embedding"), F.col("centroid")).alias("distance"),
     )
-    order = Window.partitionBy("cluster_id").orderBy("distance", "chunk_id")
+    order = Window.partitionBy("cluster_id").orderBy("distance", *reversed(ids))
     return (
         near.withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= top)
-        .select("cluster_id", "chunk_id", "place")
+        .select("cluster_id", *ids, "place")
     )
 
 
 def label_prompts(representatives: DataFrame, chunks: DataFrame, text_col: str = "text") -> DataFrame:
     """One naming prompt per theme from its (few) representative excerpts."""
     assert_columns(chunks, ("chunk_id", text_col), "label_prompts")
-    found = representatives.join(chunks.select("chunk_id", F.col(text_col).alias("t")), "chunk_id")
+    ids = I.chunk_identity(representatives, chunks)
+    found = representatives.join(chunks.select(*ids, F.col(text_col).alias("t")), ids)
     gathered = found.groupBy("cluster_id").agg(
         F.array_sort(F.collect_list(F.struct("place", "t"))).alias("r")
     )
@@ -111,15 +115,14 @@ def label_themes(
     overrides: DataFrame | None = None,
     generate: Callable[[DataFrame], DataFrame] | None = None,
     text_col: str = "text",
-    stop_words: Iterable[str] = ENGLISH_STOP_WORDS,
+    stop_words: Iterable[str] | None = None,
 ) -> DataFrame:
     """``cluster_id, label`` for every theme: override > generated > keywords > unknown.
 
     ``generate`` maps prompts (``cluster_id, prompt``) to ``cluster_id, raw_label``.
     """
-    texts = representatives.join(
-        chunks.select("chunk_id", F.col(text_col).alias("text")), "chunk_id"
-    )
+    ids = I.chunk_identity(representatives, chunks)
+    texts = representatives.join(chunks.select(*ids, F.col(text_col).alias("text")), ids)
     keywords = keyword_labels(texts, stop_words=stop_words).withColumnRenamed("label", "keyword")
     labelled = themes.select("cluster_id").distinct().join(keywords, "cluster_id", "left")
     choices = [F.col("keyword"), F.lit(X.UNKNOWN_LABEL)]

@@ -7,6 +7,7 @@ another engine's results.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,7 @@ from tidemark import schemas as S
 from tidemark.plans import reports as O
 from tidemark.plans import sql_console as Q
 from tidemark.plans.drift_plan import DriftResult, drift_plan
+from tidemark.session import cut_lineage, shared_folder
 from tidemark.sources import corpus as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +41,6 @@ QUERIES: dict[str, Query] = {}
 
 DIGITS = 6
 EMERGING_YEAR = 1998
-REGIONS = [f"{n:010d}" for n in range(25)]
-REGION_VERSIONS = [f"{cik}_{year}" for cik in REGIONS for year in range(1995, 2002)]
 ONE_COMPANY = "0000000007"
 FACT_YEARS = list(range(1995, 2002))
 
@@ -172,7 +172,10 @@ def intensity_ratio(spark, sf):
 
 @query
 def presence_matrix(spark, sf):
-    return rounded(T.presence_matrix(region_intensity(spark, sf), REGION_VERSIONS))
+    # Every entity with every year that occurs, so that gaps are columns too.
+    found = cut_lineage(region_intensity(spark, sf))
+    keys = found.agg(F.array_sort(F.collect_set("cik")), F.array_sort(F.collect_set("fiscal_year"))).first()
+    return rounded(T.presence_matrix(found, [f"{cik}_{year}" for cik in keys[0] for year in keys[1]]))
 
 
 @query
@@ -379,8 +382,12 @@ def representative_chunks(spark, sf):
 
 
 def _store(spark: SparkSession, sf: str) -> DataFrame:
-    return A.text_vectors(spark, sf).select(
-        "chunk_id", E.content_key(F.col("text"), E.HASHING_MODEL).alias("content_key"), "embedding"
+    """A store in which only documents with an embedding row of their number have a vector."""
+    texts = A.documents(spark, sf).select(F.col("doc_id").alias("vec_id"), "text")
+    return A.table(spark, sf, "embeddings").join(texts, "vec_id").select(
+        F.col("vec_id").cast("string").alias("chunk_id"),
+        E.content_key(F.col("text"), E.HASHING_MODEL).alias("content_key"),
+        "embedding",
     )
 
 
@@ -400,6 +407,32 @@ def merged_embedding_store(spark, sf):
     return A.text_chunks(spark, sf).select("chunk_id", "cik").join(merged, "chunk_id")
 
 
+def _shared_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as chunks whose ids repeat: one id per source and year."""
+    name = F.concat_ws("_", "cik", F.col("fiscal_year").cast("string"))
+    return A.text_chunks(spark, sf).withColumn("chunk_id", name)
+
+
+@query
+def duplicate_chunk_ids(spark, sf):
+    return K.duplicate_chunk_ids(_shared_ids(spark, sf))
+
+
+@query
+def stored_vectors(spark, sf):
+    """Vectors per chunk and per text out of a store, for chunks with repeated ids."""
+    chunks = _shared_ids(spark, sf).select("accession_number", "chunk_id", "text")
+    store = E.EmbeddingStore(spark, f"{shared_folder(spark)}/tidemark-store-{uuid.uuid4().hex}")
+    vectors = cut_lineage(store.get_or_compute(chunks, lambda df: E.hashing_embeddings(df, dimension=64)))
+    own = vectors.groupBy("accession_number", "chunk_id").agg(F.count(F.lit(1)).alias("n_vectors"))
+    keys = chunks.select("accession_number", "chunk_id", F.sha2("text", 256).alias("text_sha256"))
+    texts = (
+        keys.join(vectors, ["accession_number", "chunk_id"])
+        .groupBy("text_sha256").agg(F.countDistinct("embedding").alias("n_vectors_of_text"))
+    )
+    return keys.join(own, ["accession_number", "chunk_id"]).join(texts, "text_sha256")
+
+
 @query
 def text_embeddings(spark, sf):
     return components(
@@ -696,7 +729,9 @@ def first_explanation(spark, sf):
 @query
 def gold_companies(spark, sf):
     ciks = A.customer_companies(spark, sf).select(F.col("cik").cast("long").cast("string").alias("cik"))
-    metadata = A.customer_companies(spark, sf).where(F.col("sector") != "MACHINERY")
+    # Entities of one sector come without metadata.
+    known = {c: F.when(F.col("sector") != "MACHINERY", F.col(c)) for c in ("ticker", "name", "sector")}
+    metadata = A.customer_companies(spark, sf).withColumns(known)
     return G.companies_table(ciks, metadata, account_intensity(spark, sf))
 
 
@@ -744,7 +779,7 @@ def gold_explanations(spark, sf):
 @query
 def gold_evidence_chunks(spark, sf):
     referenced = G.referenced_chunk_ids(text_explanations(spark, sf))
-    return G.evidence_chunks_table(A.text_chunks(spark, sf), referenced, G.MAX_EVIDENCE_CHUNKS)
+    return G.evidence_chunks_table(A.text_chunks(spark, sf), referenced)
 
 
 @query

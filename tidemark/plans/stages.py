@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import Layers, default_companies
+from tidemark.functions import identifiers as I
 from tidemark.operators import changes as C
 from tidemark.operators import clustering as L
 from tidemark.operators import drift as D
@@ -15,7 +16,7 @@ from tidemark.operators import filings as J
 from tidemark.operators import gold as G
 from tidemark.operators import intensity as T
 from tidemark.operators import labels as B
-from tidemark.operators.chunking import chunk_sections
+from tidemark.operators.chunking import assert_unique_chunks, chunk_sections
 from tidemark.operators.embedding import EmbeddingStore
 from tidemark.operators.explanations import MAX_EXPLANATIONS, build_explanations
 from tidemark.operators.sections import extract_sections
@@ -74,18 +75,19 @@ def understand(
     overrides: DataFrame | None = None,
     generate: Generate | None = None,
 ) -> dict[str, int]:
-    """Chunks, vectors, clusters and labels."""
+    """Chunks, vectors, clusters and labels; ``clusterer`` holds the number of themes and the rule for
+    noise."""
     good = _load(spark, layers, "sections").where("success")
     chunks = _store(
         chunk_sections(good.withColumn("section", F.lit(SECTION))), layers.silver("chunks")
     )
+    assert_unique_chunks(chunks)
     vectors = EmbeddingStore(spark, layers.silver("embeddings")).get_or_compute(chunks, encode)
     placed = (clusterer or L.ThemeClusterer()).fit_predict(vectors)
     clustered = _store(placed, layers.silver("clusters"))
     centroids = _store(L.cluster_centroids(clustered), layers.silver("centroids"))
-    keys = clustered.select("chunk_id", "cluster_id")
     nearest = B.representative_chunks(
-        keys, clustered.select("chunk_id", "embedding"), centroids
+        clustered.drop("embedding"), clustered.drop("cluster_id"), centroids
     )
     labels = B.label_themes(
         centroids.select("cluster_id"), nearest, chunks, overrides, generate
@@ -95,8 +97,8 @@ def understand(
 
 
 def _clustered_chunks(spark: SparkSession, layers: Layers) -> DataFrame:
-    clusters = _load(spark, layers, "clusters").select("chunk_id", "cluster_id", "embedding")
-    return _load(spark, layers, "chunks").join(clusters, "chunk_id")
+    clusters = _load(spark, layers, "clusters").select(*I.CHUNK_IDENTITY, "cluster_id", "embedding")
+    return _load(spark, layers, "chunks").join(clusters, list(I.CHUNK_IDENTITY))
 
 
 def drift(spark: SparkSession, layers: Layers) -> dict[str, int]:
@@ -105,7 +107,7 @@ def drift(spark: SparkSession, layers: Layers) -> dict[str, int]:
     labels = gold_layer.load_labels(spark, layers.silver("labels"))
     keyed = _store(T.compute_intensity(chunks, labels), layers.silver("intensity"))
     changes = _store(C.compute_yoy_changes(keyed), layers.silver("changes"))
-    vectors = _load(spark, layers, "clusters").select("chunk_id", "embedding")
+    vectors = _load(spark, layers, "clusters").select(*I.CHUNK_IDENTITY, "embedding")
     bare = chunks.drop("embedding")
     _store(
         D.compute_centroid_drift(bare, vectors, exclude_noise=True),

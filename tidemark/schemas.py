@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -220,5 +220,21 @@ def validate(df: DataFrame, spec: TableSpec) -> DataFrame:
     return coerce(df, spec)
 
 
+def observed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, Callable[[], None]]:
+    """Coerced frame whose violations are counted while it is written, and a check to call after the
+    write, which raises :class:`SchemaViolation`."""
+    seen = Observation()
+    rules = _rules(spec)
+    counts = [F.count_if(bad).alias(name) for name, bad in rules.items()]
+    frame = coerce(df, spec).observe(seen, F.count(F.lit(1)).alias("_rows"), *counts)
+
+    def check() -> None:
+        failures = {rule: n for rule, n in seen.get.items() if n and rule != "_rows"}
+        if failures:
+            raise SchemaViolation(spec.name, failures)
+
+    return frame, check
+
+
 def empty_frame(spark, spec: TableSpec) -> DataFrame:
     return spark.createDataFrame([], spec.schema)

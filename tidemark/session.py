@@ -16,6 +16,8 @@ SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Vector sums of long vectors are object aggregates; keep them hashed beyond 128 groups.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
@@ -48,7 +50,14 @@ def local_session(cpus: int | None = None, memory: str = "8g", **conf: str) -> S
     return build_session(
         master=f"local[{cpus}]",
         shuffle_partitions=cpus,
-        **{"spark.driver.memory": memory, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **conf},
+        **{
+            "spark.driver.memory": memory,
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            # Small tables on all cores: splits may be smaller than the default 4 MB.
+            "spark.sql.files.openCostInBytes": str(256 * 1024),
+            **conf,
+        },
     )
 
 
@@ -74,6 +83,15 @@ def _checkpoint_folder(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only local sessions without it get one of their own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        _checkpoint_folder(spark)
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the cluster's shared folder; survives the loss of executors."""
     _checkpoint_folder(df.sparkSession)

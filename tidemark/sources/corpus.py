@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import identifiers as I
 from tidemark.functions.vectors import vector_dimension
-from tidemark.session import folder_bytes
 
 THEME_COUNT = 12
 LINE_DIMENSION = 4
@@ -78,34 +77,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(table_path(sf_dir, name))
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table on all cores, even when it arrives in fewer splits than there are cores.
-
-    Spark makes no split smaller than ``spark.sql.files.openCostInBytes``, so a table below
-    that size per core leaves cores idle and is worth one small shuffle. Any larger table is
-    read as it is, without a shuffle.
-    """
-    frame = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    smallest = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
-    size = folder_bytes(spark, table_path(sf_dir, name))
-    return frame.repartition(cores, key) if size < cores * smallest else frame
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_table(spark, sf_dir, "documents", "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_table(spark, sf_dir, "pages", "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_table(spark, sf_dir, "orders", "o_orderkey")
+    return table(spark, sf_dir, "orders")
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_table(spark, sf_dir, "lineitem", "l_orderkey")
+    return table(spark, sf_dir, "lineitem")
 
 
 def _theme(size: Column) -> Column:
@@ -202,13 +187,14 @@ def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embedding rows with the text of the document of the same number."""
-    texts = documents(spark, sf_dir).select(F.col("doc_id").alias("vec_id"), "text")
+    """Every document with a vector: that of its number, counted round the embedding rows."""
+    vectors = table(spark, sf_dir, "embeddings")
+    number = F.pmod(F.col("doc_id"), F.lit(max(1, vectors.count())))
+    texts = documents(spark, sf_dir).select("doc_id", number.alias("vec_id"), "text")
     return (
-        table(spark, sf_dir, "embeddings")
-        .join(texts, "vec_id")
+        vectors.join(texts, "vec_id")
         .select(
-            F.col("vec_id").cast("string").alias("chunk_id"),
+            F.col("doc_id").cast("string").alias("chunk_id"),
             (F.col("label") - 1).alias("cluster_id"),
             "embedding",
             "text",

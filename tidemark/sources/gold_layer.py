@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schemas as S
 from tidemark.operators import gold as G
-from tidemark.session import folder_bytes, path_exists
+from tidemark.session import folder_bytes, hadoop_path, path_exists
 
 logger = logging.getLogger(__name__)
 
@@ -32,13 +32,25 @@ def read_table(spark: SparkSession, gold_dir: str, name: str) -> DataFrame:
 def write_table(
     df: DataFrame, gold_dir: str, name: str, partition_by: list[str] | None = None
 ) -> str:
-    """Validate against the declared checks, then write; returns the path."""
-    valid = S.validate(df, S.GOLD_TABLES[name])
-    writer = valid.write.mode("overwrite").option("compression", "snappy")
+    """Write aside while the declared checks count violations, then publish; returns the path.
+
+    The plan runs once. With violations nothing is published and the old table stays.
+    """
+    frame, check = S.observed(df, S.GOLD_TABLES[name])
+    path = table_path(gold_dir, name)
+    aside, files = hadoop_path(df.sparkSession, f"{path}.unchecked")
+    writer = frame.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    path = table_path(gold_dir, name)
-    writer.parquet(path)
+    writer.parquet(aside.toString())
+    try:
+        check()
+    except S.SchemaViolation:
+        files.delete(aside, True)
+        raise
+    target, _ = hadoop_path(df.sparkSession, path)
+    files.delete(target, True)
+    files.rename(aside, target)
     return path
 
 
@@ -80,9 +92,9 @@ def build_all(
     extractions: DataFrame,
     clustering: DataFrame | None,
     overrides: DataFrame | None = None,
-    max_evidence_chunks: int = G.MAX_EVIDENCE_CHUNKS,
+    max_evidence_chunks: int | None = None,
 ) -> dict[str, str]:
-    """Write the seven tables in dependency order.
+    """Write the seven tables in dependency order; evidence has no limit unless one is given.
 
     Evidence reads the explanations back from disk, so they are not computed a second time.
     """

@@ -69,8 +69,9 @@ class TextService:
         system_prompt: str = "",
         as_json: bool = False,
         temperature: float = TEMPERATURE,
+        check: bool = True,
     ) -> str:
-        if not self.is_available():
+        if check and not self.is_available():
             raise TextServiceUnavailable(f"no model '{self.model}' at {self.base_url}")
         payload: dict = {
             "model": self.model,
@@ -116,11 +117,15 @@ def generator(
 
     def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         service = make_service()
+        available = service.is_available()  # asked once per task
         for frame in frames:
             rows = []
+            if not available:
+                yield pd.DataFrame(rows, columns=[key, output])
+                continue
             for name, prompt in zip(frame[key], frame["prompt"]):
                 try:
-                    text = service.generate(prompt, system_prompt)
+                    text = service.generate(prompt, system_prompt, check=False)
                 except TextServiceError:
                     continue
                 if text:

@@ -3,7 +3,8 @@
 The periodic refresh runs as a Structured Streaming query over the bronze folder with
 ``availableNow``: it takes the files that arrived since the last run, remembers them in its
 checkpoint, and stops. A batch that is repeated after a failure appends nothing twice, because
-chunks that are already stored are removed by an anti join on their id.
+chunks that are already stored are removed by an anti join on filing, id and text. A corrected text
+is new; two filings of one year keep their own chunks.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions import identifiers as I
 from tidemark.operators.chunking import MAX_WORDS, MIN_WORDS, chunk_sections
 from tidemark.operators.embedding import EmbeddingStore
 from tidemark.operators.sections import extract_sections
@@ -35,10 +37,13 @@ def filings_to_chunks(
 def append_new_chunks(batch: DataFrame, chunk_path: str) -> None:
     """Append the chunks of a batch that are not stored yet."""
     spark = batch.sparkSession
-    fresh = batch.dropDuplicates(["chunk_id"])
+    fresh = batch.dropDuplicates([*I.CHUNK_IDENTITY, "text"])
     if path_exists(spark, chunk_path):
-        stored = spark.read.schema(batch.schema).parquet(chunk_path).select("chunk_id")
-        fresh = fresh.join(stored, "chunk_id", "left_anti")
+        stored = spark.read.schema(batch.schema).parquet(chunk_path)
+        known = stored.select(*I.CHUNK_IDENTITY, F.xxhash64("text").alias("_text"))
+        keys = [*I.CHUNK_IDENTITY, "_text"]
+        fresh = fresh.withColumn("_text", F.xxhash64("text")).join(known, keys, "left_anti")
+        fresh = fresh.select(*batch.columns)
     fresh.write.mode("append").parquet(chunk_path)
 
 
@@ -59,8 +64,7 @@ def refresh(
     def store(batch: DataFrame, _: int) -> None:
         append_new_chunks(batch, chunk_path)
         if embedding_path:
-            stored = batch.sparkSession.read.schema(batch.schema).parquet(chunk_path)
-            EmbeddingStore(batch.sparkSession, embedding_path).get_or_compute(stored)
+            EmbeddingStore(batch.sparkSession, embedding_path).get_or_compute(batch)
 
     return (
         chunks.writeStream.foreachBatch(store)
