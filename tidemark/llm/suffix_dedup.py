@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ SORT_SYMBOLS = 3_000_000
 BUCKETS_EACH = 8
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
+_BASE, _OTHER_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -47,6 +48,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 _SCANNED = STEP + LENGTH
 _UP, _DOWN = _powers(_BASE, _SCANNED), _powers(pow(_BASE, -1, 1 << 64), _SCANNED)
+_UP_2, _DOWN_2 = _powers(_OTHER_BASE, _SCANNED), _powers(pow(_OTHER_BASE, -1, 1 << 64), _SCANNED)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -55,16 +57,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def passages(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, start and size of the passages of a document; together they hold each window of
-    ``LENGTH`` bytes exactly once."""
-    hashes, starts, sizes = [], [], []
+def passages(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, hash of all bytes, start and size of the passages of a document; together they
+    hold each window of ``LENGTH`` bytes exactly once."""
+    found: list[list[np.ndarray]] = [[], [], [], []]
     whole = np.frombuffer(raw, np.uint8)
     for at in range(0, max(0, len(whole) - LENGTH + 1), STEP):
-        part = whole[at : at + STEP + LENGTH - 1]
+        part = whole[at : at + STEP + LENGTH - 1].astype(np.uint64) + _U(1)
         n = len(part)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + _U(1)) * _UP[:n], out=sums[1:])
+        sums, others = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+        np.cumsum(part * _UP[:n], out=sums[1:])
+        np.cumsum(part * _UP_2[:n], out=others[1:])
         grams = _mix((sums[GRAM:] - sums[:-GRAM]) * _DOWN[: n - GRAM + 1])
         # The place in the low bits: of equal hashes the first counts.
         keys = (grams & ~_U((1 << 20) - 1)) | np.arange(len(grams), dtype=np.uint64)
@@ -77,13 +80,13 @@ def passages(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         windows = n - LENGTH + 1
         anchor = (np.minimum(after[:windows], before[SPAN - 1 : SPAN - 1 + windows]) & _U((1 << 20) - 1)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-        count = np.diff(np.append(first, windows))
-        hashes.append(grams[anchor[first]])
-        starts.append(first + at)
-        sizes.append(count + LENGTH - 1)
-    if not hashes:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(starts), np.concatenate(sizes)
+        size = np.diff(np.append(first, windows)) + LENGTH - 1
+        content = _mix((others[first + size] - others[first]) * _DOWN_2[first] + size.astype(np.uint64))
+        for out, values in zip(found, (grams[anchor[first]], content, first + at, size)):
+            out.append(values)
+    if not found[0]:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in found)
 
 
 def sort_collection(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,11 +187,12 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
 
 # Jobs ----------------------------------------------------------------------------------------
 
-_DOC = "doc long, variant long"
-_BLOB = pa.schema([("bucket", pa.int32()), ("known", pa.bool_())] + [(c, pa.binary()) for c in ("h", "doc", "variant", "start", "size")])
-_REPEATED = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("variant", pa.int64()), ("start", pa.int64()), ("size", pa.int32())])
+_BLOB = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("h", "content", "doc", "variant", "start", "size")])
+#: Rows with a key are passages to sort; rows without one carry ranges known to be repeated.
+_FOUND = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("variant", pa.int64()), ("start", pa.int64()), ("size", pa.int32()), ("ranges", pa.binary())])
 _PASSAGE = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("variant", pa.int64()), ("start", pa.int64()), ("size", pa.int32()), ("passage", pa.binary())])
-_RANGE = pa.schema([("doc", pa.int64()), ("variant", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+_RANGE = pa.schema([("doc", pa.int64()), ("variant", pa.int64()), ("ranges", pa.binary())])
+_KINDS = {"h": np.uint64, "content": np.uint64, "doc": np.int64, "variant": np.uint32, "start": np.uint32, "size": np.uint8}
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -206,9 +210,68 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The documents with their bytes compressed, for shuffles."""
+    schema = pa.schema([("doc", pa.int64()), ("variant", pa.int64()), ("packed", pa.binary())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            packed = [packer.compress(x.as_py()) for x in batch.column("raw")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("variant"), pa.array(packed, pa.binary())], schema=schema)
+
+    return rows.mapInArrow(work, _ddl(schema))
+
+
+def _pack(low: np.ndarray, high: np.ndarray) -> bytes:
+    return np.column_stack([low, high]).astype("<u4").tobytes()
+
+
+def _per_document(doc: np.ndarray, variant: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple]:
+    """``(doc, variant, packed ranges)`` of ranges sorted by document and start, overlaps merged."""
+    if not len(doc):
+        return
+    fresh = np.ones(len(doc), bool)
+    same = (doc[1:] == doc[:-1]) & (variant[1:] == variant[:-1])
+    # Sizes vary by less than LENGTH and starts rise, so a range can end before the last one ended.
+    end = high.copy()
+    borders = np.flatnonzero(np.append(True, ~same))
+    for a, b in zip(borders, np.append(borders[1:], len(doc))):
+        end[a:b] = np.maximum.accumulate(high[a:b])
+    fresh[1:] = ~same | (low[1:] > end[:-1])
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(doc)) - 1
+    d, v, a, b = doc[first], variant[first], low[first], end[last]
+    edge = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (v[1:] != v[:-1])))
+    for x, y in zip(edge, np.append(edge[1:], len(d))):
+        yield int(d[x]), int(v[x]), _pack(a[x:y], b[x:y])
+
+
+def _later(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For rows in order of document and start: whether an equal passage stands at an earlier place,
+    and whether the row is the first of its passage."""
+    order = np.lexsort((rows["content"], rows["h"]))  # stable: keeps the order of places
+    h, content = rows["h"][order], rows["content"][order]
+    head = np.append(True, (h[1:] != h[:-1]) | (content[1:] != content[:-1]))
+    lead = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+    first = np.zeros(len(order), bool)
+    first[order[head]] = True
+    here = np.empty(len(order), np.int64)
+    here[order] = lead
+    moved = np.zeros(len(order), bool)
+    for c in ("doc", "variant", "start"):
+        moved |= rows[c] != rows[c][here]
+    return moved, first
+
+
+def _by_place(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    order = np.lexsort((rows["start"], rows["variant"], rows["doc"]))
+    return {c: x[order] for c, x in rows.items()}
+
+
 def _anchors(rows: DataFrame, buckets: int) -> DataFrame:
-    """Passages of all documents, packed by bucket of their anchor. Anchors that repeat within a batch
-    are known to be repeated: one of them goes to the bucket, marked, the others go on directly."""
+    """Passages of all documents, packed by bucket of their anchor. Of equal passages in a batch the
+    earliest goes to the bucket; the others are ranges known to be repeated (bucket below zero)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,83 +279,80 @@ def _anchors(rows: DataFrame, buckets: int) -> DataFrame:
             count = [len(f[0]) for f in found]
             if not sum(count):
                 continue
-            h, start, size = (np.concatenate([f[i] for f in found]) for i in range(3))
-            doc = np.repeat(batch.column("doc").to_numpy(), count)
-            variant = np.repeat(batch.column("variant").to_numpy(), count)
-            _, first, back, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-            chosen = np.zeros(len(h), bool)
-            chosen[first] = True
-            several = times[back] > 1
-            spread = (h % _U(buckets)).astype(np.int64)
-            # What goes on directly is spread evenly, not by its anchor.
-            spread[~chosen] = np.arange(len(h))[~chosen] // 256 % buckets
-            kind = np.where(chosen, several.astype(np.int64), 2)  # alone, marked, direct
-            order = np.lexsort((kind, spread))
-            edge = np.flatnonzero(np.diff(spread[order] * 3 + kind[order])) + 1
+            own = {c: np.concatenate([f[i] for f in found]) for i, c in enumerate(("h", "content", "start", "size"))}
+            own["doc"] = np.repeat(batch.column("doc").to_numpy(), count)
+            own["variant"] = np.repeat(batch.column("variant").to_numpy(), count)
+            own = _by_place(own)
+            moved, first = _later(own)
             out = []
-            for part in np.split(order, edge):
-                # Both marked and direct ones are known to repeat; direct ones hold no news for others.
-                out.append(
-                    {
-                        "bucket": int(spread[part[0]]) + (buckets if kind[part[0]] == 2 else 0),
-                        "known": bool(kind[part[0]]),
-                        "h": h[part].tobytes(),
-                        "doc": doc[part].astype(np.int64).tobytes(),
-                        "variant": variant[part].astype(np.uint32).tobytes(),
-                        "start": start[part].astype(np.uint32).tobytes(),
-                        "size": size[part].astype(np.uint8).tobytes(),
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(out, _BLOB)
+            if moved.any():
+                gone = {c: x[moved] for c, x in own.items()}
+                for k, (doc, variant, packed) in enumerate(_per_document(gone["doc"], gone["variant"], gone["start"], gone["start"] + gone["size"])):
+                    place = {"doc": np.int64(doc).tobytes(), "variant": np.uint32(variant).tobytes()}
+                    out.append({"bucket": -1 - (doc ^ variant) % buckets, "h": None, "content": None, **place, "start": packed, "size": None})
+            own = {c: x[first] for c, x in own.items()}
+            spread = (own["h"] % _U(buckets)).astype(np.int64)
+            order = np.argsort(spread, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(spread[order])) + 1):
+                out.append({"bucket": int(spread[part[0]])} | {c: own[c][part].astype(kind).tobytes() for c, kind in _KINDS.items()})
+            for at in range(0, len(out), 2000):
+                yield pa.RecordBatch.from_pylist(out[at : at + 2000], _BLOB)
 
     return rows.mapInArrow(work, _ddl(_BLOB))
 
 
-def _only_repeated(blobs: DataFrame) -> DataFrame:
-    """Passages whose anchor occurs at least twice, from partitions that hold whole buckets."""
-    kinds = {"h": np.uint64, "doc": np.int64, "variant": np.uint32, "start": np.uint32, "size": np.uint8}
+def _repeated(blobs: DataFrame) -> DataFrame:
+    """From partitions that hold whole buckets: ranges of passages that repeat an equal one, and the
+    passages, each once, whose anchor occurs in several different ones."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[str, list[np.ndarray]] = {c: [] for c in [*kinds, "known"]}
+        parts: dict[str, list[np.ndarray]] = {c: [] for c in _KINDS}
+        none = dict.fromkeys(("h", "start", "size"))
         for batch in batches:
-            for i in range(batch.num_rows):
-                for c, kind in kinds.items():
-                    parts[c].append(np.frombuffer(batch.column(batch.schema.get_field_index(c))[i].as_py(), kind))
-                known = batch.column(batch.schema.get_field_index("known"))[i].as_py()
-                parts["known"].append(np.full(len(parts["h"][-1]), known))
+            out = []
+            for row in batch.to_pylist():
+                if row["bucket"] < 0:
+                    place = {"doc": int.from_bytes(row["doc"], "little", signed=True), "variant": int.from_bytes(row["variant"], "little")}
+                    out.append(none | place | {"ranges": row["start"]})
+                    continue
+                for c, kind in _KINDS.items():
+                    parts[c].append(np.frombuffer(row[c], kind))
+            if out:
+                yield pa.RecordBatch.from_pylist(out, _FOUND)
         if not parts["h"]:
             return
-        rows = {c: np.concatenate(x) for c, x in parts.items()}
+        rows = _by_place({c: np.concatenate(x).astype(np.uint64 if c in ("h", "content") else np.int64) for c, x in parts.items()})
+        moved, first = _later(rows)
+        gone = {c: x[moved] for c, x in rows.items()}
+        known = list(_per_document(gone["doc"], gone["variant"], gone["start"], gone["start"] + gone["size"]))
+        for at in range(0, len(known), 50_000):
+            doc, variant, packed = zip(*known[at : at + 50_000])
+            empty = pa.nulls(len(doc), pa.int64())
+            yield pa.RecordBatch.from_arrays([empty, pa.array(doc, pa.int64()), pa.array(variant, pa.int64()), empty, empty.cast(pa.int32()), pa.array(packed, pa.binary())], schema=_FOUND)
+        rows = {c: x[first] for c, x in rows.items()}
         _, back, times = np.unique(rows["h"], return_inverse=True, return_counts=True)
-        keep = np.flatnonzero(rows["known"] | (times[back] > 1))
+        keep = np.flatnonzero(times[back] > 1)
         for at in range(0, len(keep), 100_000):
             own = keep[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows["h"][own].view(np.int64)),
-                    pa.array(rows["doc"][own]),
-                    pa.array(rows["variant"][own].astype(np.int64)),
-                    pa.array(rows["start"][own].astype(np.int64)),
-                    pa.array(rows["size"][own].astype(np.int32)),
-                ],
-                schema=_REPEATED,
-            )
+            columns = [rows["h"][own].view(np.int64), rows["doc"][own], rows["variant"][own], rows["start"][own], rows["size"][own].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(own), pa.binary())], schema=_FOUND)
 
-    return blobs.mapInArrow(work, _ddl(_REPEATED))
+    return blobs.mapInArrow(work, _ddl(_FOUND))
 
 
 def _with_bytes(rows: DataFrame) -> DataFrame:
-    """The repeated passages with their bytes. Passages of hot anchors are cut into their windows, each
-    grouped by its own hash. Of equal passages in a batch only the earliest keeps its bytes; the rest
+    """The passages to sort with their bytes. Passages of hot anchors are cut into their windows, each
+    grouped by its own hash. Of equal windows in a batch only the earliest keeps its bytes; the rest
     repeat it and need no sorting."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             found = []
             docs, variants = batch.column("doc").to_pylist(), batch.column("variant").to_pylist()
-            raws, lists = batch.column("raw"), batch.column("passages").to_pylist()
+            packed, lists = batch.column("packed"), batch.column("passages").to_pylist()
             for k, own in enumerate(lists):
-                raw = raws[k].as_py()
+                raw = unpacker.decompress(packed[k].as_py())
                 for p in own:
                     low, high = p["start"], p["start"] + p["size"]
                     if not p["hot"]:
@@ -345,10 +405,13 @@ def _sorted_groups(rows: DataFrame) -> DataFrame:
         out: list[tuple] = []
 
         def result() -> pa.RecordBatch:
-            columns = zip(*out) if out else ((), (), (), ())
-            made = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_RANGE)
+            made = []
+            if out:
+                columns = [np.array(c, np.int64) for c in zip(*sorted(out))]
+                made = list(_per_document(*columns))
             out.clear()
-            return made
+            columns = zip(*made) if made else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RANGE)], schema=_RANGE)
 
         for batch in batches:
             names = ["key", "doc", "variant", "start", "size", "passage"]
@@ -370,29 +433,37 @@ def _sorted_groups(rows: DataFrame) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc, variant, low, high``: ranges of bytes that occur earlier; they may overlap."""
+    """``doc, variant, ranges``: packed ranges of bytes that occur earlier (pairs of unsigned 32-bit
+    numbers); they may overlap, and a document may have several rows.
+
+    Passages count as equal when 128 bits of hashes and their sizes agree; what differs around a common
+    anchor is sorted and compared byte by byte.
+    """
     spark = docs.sparkSession
     rows = _documents(docs, id_col, text_col).filter(F.octet_length("raw") >= LENGTH)
     parts = partitions(spark)
-    blobs = _anchors(rows, parts * BUCKETS_EACH).repartition(parts, "bucket")
-    repeated = saved(_only_repeated(blobs), "repeated-anchors")
-    hot = saved(hot_keys(repeated, "h", repeated.count()), "hot-anchors").select("h", F.lit(True).alias("hot"))
-    marked = repeated.join(F.broadcast(hot), "h", "left")
+    found = saved(_repeated(_anchors(rows, parts * BUCKETS_EACH).repartition(parts, "bucket")), "repeated-passages")
+    to_sort = found.filter(F.col("h").isNotNull())
+    hot = saved(hot_keys(to_sort, "h", to_sort.count()), "hot-anchors").select("h", F.lit(True).alias("hot"))
+    marked = to_sort.join(F.broadcast(hot), "h", "left")
     own = F.struct("h", "start", "size", F.coalesce("hot", F.lit(False)).alias("hot"))
     by_doc = marked.groupBy("doc", "variant").agg(F.collect_set(own).alias("passages"))
-    texts = rows.join(by_doc, ["doc", "variant"])
+    texts = _packed(rows).join(by_doc, ["doc", "variant"])
     dealt = _with_bytes(texts).repartition(parts, "key").sortWithinPartitions("key")
-    return saved(_sorted_groups(dealt), "repeated-ranges")
+    sorted_ranges = saved(_sorted_groups(dealt), "sorted-ranges")
+    known = found.filter(F.col("h").isNull()).select("doc", "variant", "ranges")
+    return sorted_ranges.unionByName(known)
 
 
-def _merged(ranges: list) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for low, high in sorted((r["low"], r["high"]) for r in ranges):
-        if out and low <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], high)
-        else:
-            out.append([low, high])
-    return [(a, b) for a, b in out]
+def _merged(packed: list[bytes]) -> list[tuple[int, int]]:
+    if not packed:
+        return []
+    pairs = np.frombuffer(b"".join(packed), "<u4").reshape(-1, 2).astype(np.int64)
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    end = np.maximum.accumulate(pairs[:, 1])
+    first = np.flatnonzero(np.append(True, pairs[1:, 0] > end[:-1]))
+    last = np.append(first[1:], len(pairs)) - 1
+    return list(zip(pairs[first, 0].tolist(), end[last].tolist()))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -405,18 +476,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``kept`` are the remaining bytes, which need not be valid UTF-8. Other columns are not read.
     """
     ranges = repeated_ranges(docs, id_col, text_col)
-    by_doc = ranges.groupBy("doc", "variant").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    rows = _documents(docs, id_col, text_col).join(by_doc, ["doc", "variant"], "left")
+    by_doc = ranges.groupBy("doc", "variant").agg(F.collect_list("ranges").alias("ranges"))
+    rows = _packed(_documents(docs, id_col, text_col)).join(by_doc, ["doc", "variant"], "left")
     schema = pa.schema(
         [("doc", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())]
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            docs_, raws = batch.column("doc").to_pylist(), batch.column("raw")
+            docs_, packed = batch.column("doc").to_pylist(), batch.column("packed")
             for k, own in enumerate(batch.column("ranges").to_pylist()):
-                raw, gone = raws[k].as_py(), _merged(own or [])
+                raw, gone = unpacker.decompress(packed[k].as_py()), _merged(own or [])
                 edges = [0, *(x for r in gone for x in r), len(raw)]
                 kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 out.append((docs_[k], len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept))
