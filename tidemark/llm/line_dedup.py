@@ -209,7 +209,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own"))
     shared = shared.filter((F.col("n") > 1) & (F.col("own") == 1)).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     candidates = saved(keyed.join(shared, "key").select("key", "k1", "blocks"), "candidates")
-    wanted = candidates.select("k1").distinct()
+    # Merge joins at every size: both tables below grow with the lines and are never small by right.
+    wanted = candidates.select("k1").distinct().hint("merge")
     texts = (
         lines.join(wanted, "k1", "left_semi").groupBy("k1", "k2")
         .agg(F.min(place).alias("place"), F.min("line").alias("line"))
@@ -245,7 +246,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out.append(("\n".join(left), len(lines), len(lines) - len(left)))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
 
-    kept = kept.toDF("__doc", "__doc_hash", "__kept")
+    kept = kept.toDF("__doc", "__doc_hash", "__kept").hint("merge")
     same = F.col("__doc").eqNullSafe(column(id_col).cast("long")) & (F.col("__doc_hash") == F.xxhash64(whole_text(text_col)))
     joined = docs.join(kept, same, "left")
     joined = joined.withColumn("__cut", cut(whole_text(text_col), F.col("__kept")))
