@@ -66,4 +66,6 @@ def test_edge_rows_pass_every_stage(spark, sf):
             out = fn(spark, docs, sf)
             assert name == "byte_bpe" or out.columns == docs.columns
             assert out.count() <= docs.count()
+            if name != "byte_bpe" and docs is full:
+                assert out.select("component", "_text", "kept", "__gone").distinct().collect() == [("c", 1, "k", 1)]
     assert stage("near_dedup")(spark, full, sf).filter("doc_id >= 10").count() == 0

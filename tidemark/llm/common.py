@@ -32,6 +32,25 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def whole_rows(df: DataFrame, **more: Column) -> DataFrame:
+    """The rows of ``df`` as one column ``_row``, with further columns; so no name can clash."""
+    row = F.struct(*[column(c) for c in df.columns]).alias("_row")
+    return df.select(row, *[value.alias(name) for name, value in more.items()])
+
+
+def own_columns(df: DataFrame, like: DataFrame) -> list[Column]:
+    """The columns of ``like`` out of ``_row``."""
+    return [F.col("_row").getField(c).alias(c) for c in like.columns]
+
+
+def drop_ids(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """``df`` without the rows whose id is in the single column of ``ids``; null is an id too."""
+    gone = ids.toDF("_gone")
+    rows = whole_rows(df, _id=column(id_col).cast("long"))
+    left = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return left.select(*own_columns(left, df))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

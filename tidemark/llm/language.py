@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, saved
+from tidemark.llm.common import own_columns, saved, whole_rows
 
 UNKNOWN = "und"
 #: Text likelihoods are learned from at most so many rows of each declared language.
@@ -251,15 +251,14 @@ def identify(
     """
     null = F.lit(None).cast("string")
     text = F.coalesce(text, F.lit(""))
-    rows = df.withColumns(
-        {
-            "_text": text,
-            "_declared": primary(declared) if declared is not None else null,
-            "_host": host if host is not None else null,
-            "_domain": domain if domain is not None else null,
-            "_suffix": suffix if suffix is not None else null,
-            "_key": (key if key is not None else text).cast("string"),
-        }
+    rows = whole_rows(
+        df,
+        _text=text,
+        _declared=primary(declared) if declared is not None else null,
+        _host=host if host is not None else null,
+        _domain=domain if domain is not None else null,
+        _suffix=suffix if suffix is not None else null,
+        _key=(key if key is not None else text).cast("string"),
     )
     internal = ["_text", "_declared", "_host", "_domain", "_suffix", "_key"]
     model = fit(rows.select(*internal))
@@ -282,7 +281,8 @@ def identify(
     )
     language = F.when(F.col("_letters"), F.col("_best")).otherwise(F.lit(UNKNOWN))
     accepted = (language != UNKNOWN) & (F.col("_confidence") >= LEAST_CONFIDENCE)
-    kept = [column(c) for c in df.columns if c not in ("language", "confidence", "accepted")]
+    results = ("language", "confidence", "accepted")
+    kept = [c for c, name in zip(own_columns(fused, df), df.columns) if name not in results]
     return fused.select(
         *kept,
         language.alias("language"),

@@ -11,12 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, saved, whole_text
+from tidemark.llm.common import column, saved, whole_rows, whole_text
 
 #: Lines within so many edits of an earlier line are removed.
 EDITS = 1
@@ -236,25 +235,27 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     kept = saved(repeated_lines(docs, id_col, text_col, edits), "kept-lines")
 
-    @F.pandas_udf("text string, n_lines int, n_removed int")
-    def cut(texts: pd.Series, numbers: pd.Series) -> pd.DataFrame:
+    kinds = pa.struct([("text", pa.string()), ("n_lines", pa.int32()), ("n_removed", pa.int32())])
+
+    @F.arrow_udf("text string, n_lines int, n_removed int")
+    def cut(texts: pa.Array, numbers: pa.Array) -> pa.Array:
         out = []
         for text, own in zip(texts, numbers):
-            lines = text.split("\n")
-            stay = set() if own is None else set(own)
+            lines = text.as_py().split("\n")
+            stay = set(own.as_py() or ())
             left = [x for i, x in enumerate(lines) if len(x) < LEAST_LINE or i in stay]
-            out.append(("\n".join(left), len(lines), len(lines) - len(left)))
-        return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
-
-    kept = kept.toDF("__doc", "__doc_hash", "__kept").hint("merge")
-    same = F.col("__doc").eqNullSafe(column(id_col).cast("long")) & (F.col("__doc_hash") == F.xxhash64(whole_text(text_col)))
-    joined = docs.join(kept, same, "left")
-    joined = joined.withColumn("__cut", cut(whole_text(text_col), F.col("__kept")))
-    is_text = column(text_col).isNotNull()
+            out.append({"text": "\n".join(left), "n_lines": len(lines), "n_removed": len(lines) - len(left)})
+        return pa.array(out, kinds)
+
+    rows = whole_rows(docs, _doc=column(id_col).cast("long"), _hash=F.xxhash64(whole_text(text_col)))
+    same = F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_hash") == F.col("doc_hash"))
+    text = F.col("_row").getField(text_col).cast("string")
+    joined = rows.join(kept.hint("merge"), same, "left")
+    joined = joined.withColumn("_cut", cut(F.coalesce(text, F.lit("")), F.col("kept")))
     results = {
-        text_col: F.when(is_text, F.col("__cut.text")),
-        "n_lines": F.when(is_text, F.col("__cut.n_lines")).otherwise(0),
-        "n_removed": F.when(is_text, F.col("__cut.n_removed")).otherwise(0),
+        text_col: F.when(text.isNotNull(), F.col("_cut.text")),
+        "n_lines": F.when(text.isNotNull(), F.col("_cut.n_lines")).otherwise(0),
+        "n_removed": F.when(text.isNotNull(), F.col("_cut.n_removed")).otherwise(0),
     }
     names = [*docs.columns, *[c for c in ("n_lines", "n_removed") if c not in docs.columns]]
-    return joined.select(*[results[c].alias(c) if c in results else docs[f"`{c}`"] for c in names])
+    return joined.select(*[results.get(c, F.col("_row").getField(c)).alias(c) for c in names])
