@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import digest_documents
-from tidemark.llm.common import saved
+from tidemark.llm.common import drop_ids, saved
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.language import identify
 from tidemark.llm.line_dedup import dedup_lines
@@ -35,8 +35,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one document and stay or go together: it goes when all of them have a better copy."""
     ship_package(spark)
     decided = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    gone = saved(decided.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")), "near-copies")
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    gone = saved(decided.filter(~F.col("kept")).select("doc_id"), "near-copies")
+    return drop_ids(docs, gone, "doc_id")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
