@@ -8,12 +8,12 @@ LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefgh
 
 SQL["op1_decontamination"] = f"""
 WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array({LOWERED}, '[ \\t-\\r]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array({LOWERED}, '[ \\t-\\r]+'), lambda x: x <> '') AS w FROM documents
 ), p AS (
   SELECT doc_id, len(w) AS size, i AS at, array_to_string(w[i + 1 : i + 5], ' ') AS shingle
   FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS i FROM d WHERE len(w) >= 5)
 ), b AS (
-  SELECT item_id, list_filter(regexp_split_to_array({LOWERED}, '[ \\t-\\r]+'), x -> x <> '') AS w FROM benchmark
+  SELECT item_id, list_filter(regexp_split_to_array({LOWERED}, '[ \\t-\\r]+'), lambda x: x <> '') AS w FROM benchmark
 ), q AS (
   SELECT item_id, len(w) AS n, i AS at, array_to_string(w[i + 1 : i + 5], ' ') AS shingle
   FROM (SELECT item_id, w, unnest(range(len(w) - 4)) AS i FROM b WHERE len(w) >= 5)
@@ -28,14 +28,14 @@ WITH d AS (
 ), own AS (
   SELECT item_id, shingle, count(*) AS times FROM q GROUP BY ALL
 ), shared AS (
-  SELECT doc_id, item_id, start, sum(least(i.times, o.times))::BIGINT AS both
+  SELECT doc_id, item_id, start, sum(least(i.times, o.times))::BIGINT AS hit
   FROM inside i JOIN own o USING (item_id, shingle) GROUP BY ALL
 ), scored AS (
-  SELECT doc_id, item_id, start, both, (n - 4) + (least(n, size) - 4) - both AS total
+  SELECT doc_id, item_id, start, hit, (n - 4) + (least(n, size) - 4) - hit AS total
   FROM shared JOIN windows USING (doc_id, item_id, start)
 )
-SELECT doc_id, item_id, arg_max(start, (both / total, -start))::INTEGER AS start, max(both / total) AS similarity
-FROM scored WHERE 100 * both >= 75 * total GROUP BY doc_id, item_id
+SELECT doc_id, item_id, arg_max(start, (hit / total, -start))::INTEGER AS start, max(hit / total) AS similarity
+FROM scored WHERE 100 * hit >= 75 * total GROUP BY doc_id, item_id
 """
 
 SQL["op10_exact_dedup"] = f"""
