@@ -32,7 +32,7 @@ SPAN = LENGTH - GRAM + 1
 #: Bytes of a document that are scanned at once.
 STEP = 1 << 19
 #: Symbols of passages that are sorted at once, unless one anchor has more.
-SORT_SYMBOLS = 3_000_000
+SORT_SYMBOLS = 600_000
 #: Buckets of anchors for each shuffle partition, so that the partitions are even.
 BUCKETS_EACH = 8
 
@@ -99,65 +99,80 @@ def sort_collection(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     prefix between their rests.
     """
     n = len(texts)
-    size = np.array([len(t) for t in texts])
+    size = np.array([len(t) for t in texts], np.int64)
     width = int(size.max(initial=0))
+    kind = np.uint8 if width < 255 and not any(b"\xff" in t for t in texts) else np.uint16
     # Right-aligned symbols, one row per round; 0 stands before the first symbol.
-    columns = np.zeros((width + 1, n), np.uint16)
+    columns = np.zeros((width + 1, n), kind)
     for i, t in enumerate(texts):
-        columns[: len(t), i] = np.frombuffer(t, np.uint8)[::-1].astype(np.uint16) + 1
-    transform = columns[0].copy()
-    who, length = np.arange(n, dtype=np.int32), np.zeros(n, np.int32)
-    common = np.zeros(n, np.int32)
+        columns[: len(t), i] = np.frombuffer(t, np.uint8)[::-1].astype(kind) + kind(1)
+    transform, common = columns[0].copy(), np.zeros(n, kind)
     place = np.arange(n)
     for j in range(width):
         active = np.flatnonzero(columns[j])
-        if not len(active):
-            break
-        order = np.argsort(transform, kind="stable")
-        order = order[transform[order] > 0]
+        order, target = _rests(transform, n)
         # Entry r of ``order`` is the rest of suffix n + r; those of the new ones are not in yet.
-        target = np.empty(len(transform), np.int64)
-        target[order] = np.arange(n, n + len(order))
-        new = np.sort(target[place[active]])
+        where = target[place[active]]
+        by = np.argsort(where)
+        new, own = where[by], active[by]
         rest = order[new - n]
-        follows = new - n > 0
+        follows = new > n
         same = np.zeros(len(new), bool)
         same[follows] = transform[order[new[follows] - n - 1]] == transform[rest[follows]]
-        to_left = np.zeros(len(new), np.int32)
+        to_left = np.zeros(len(new), kind)
         if same.any():
-            to_left[same] = 1 + _least(common, order[new[same] - n - 1] + 1, rest[same] + 1)
+            to_left[same] = _least(common, order[new[same] - n - 1] + 1, rest[same] + 1) + kind(1)
         # The suffix after a new one has a new neighbour too.
         after = new - n + 1
         inside = after < len(order)
         right = np.zeros(len(new), bool)
         right[inside] = transform[order[after[inside]]] == transform[rest[inside]]
-        to_right = np.zeros(len(new), np.int32)
+        to_right = np.zeros(len(new), kind)
         if right.any():
-            to_right[right] = 1 + _least(common, rest[right] + 1, order[after[right]] + 1)
+            to_right[right] = _least(common, rest[right] + 1, order[after[right]] + 1) + kind(1)
         total = n + len(order)
-        is_new = np.zeros(total, bool)
-        is_new[new] = True
-        own = who[rest]
+        is_old = np.ones(total, bool)
+        is_old[new] = False
         merged = []
-        for old, fresh in ((transform, columns[j + 1][own]), (who, own), (length, np.full(len(new), j + 1, np.int32)), (common, to_left)):
-            out = np.empty(total, old.dtype)
-            out[is_new], out[~is_new] = fresh, old
+        for old, fresh in ((transform, columns[j + 1][own]), (common, to_left)):
+            out = np.empty(total, kind)
+            out[new], out[is_old] = fresh, old
             merged.append(out)
-        transform, who, length, common = merged
-        next_ones = new + 1
-        fits = next_ones < total
-        changed = next_ones[fits]
-        old_next = ~is_new[changed]
+        transform, common = merged
+        fits = new + 1 < total
+        changed = new[fits] + 1
+        old_next = is_old[changed]
         common[changed[old_next]] = to_right[fits][old_next]
-        place = np.empty(n, np.int64)
         place[own] = new
-    return who, size[who] - length, common
+    # With the transform complete, each suffix leads to the one that is a symbol longer.
+    _, target = _rests(transform, n)
+    who, start = np.empty(len(transform), np.int64), np.empty(len(transform), np.int64)
+    alive = at = np.arange(n)
+    who[at], start[at] = alive, size
+    for j in range(width):
+        longer = size[alive] > j
+        alive, at = alive[longer], target[at[longer]]
+        who[at], start[at] = alive, size[alive] - j - 1
+    return who, start, common
+
+
+def _rests(transform: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the transform by symbol, and for each place the place of the suffix that its symbol
+    begins; the ``n`` empty suffixes come first."""
+    order = np.argsort(transform, kind="stable")[len(transform) - np.count_nonzero(transform) :]
+    target = np.empty(len(transform), np.int64)
+    target[order] = np.arange(n, n + len(order))
+    return order, target
 
 
 def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Least value in each range [low, high), no range being empty."""
+    # From the last start to the first, so that nothing between two ranges is looked at.
+    by = np.argsort(-low)
     padded = np.append(values, np.iinfo(values.dtype).max)
-    return np.minimum.reduceat(padded, np.column_stack([low, high]).ravel())[::2]
+    out = np.empty(len(low), values.dtype)
+    out[by] = np.minimum.reduceat(padded, np.column_stack([low[by], high[by]]).ravel())[::2]
+    return out
 
 
 def repeated_windows(texts: list[bytes], order: np.ndarray) -> list[np.ndarray]:
