@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import SCALES, Layers
+from tidemark.operators.clustering import ThemeClusterer
 from tidemark.operators.explanations import MAX_EXPLANATIONS, SYSTEM_PROMPT
 from tidemark.plans import stages
 from tidemark.schemas import GOLD_TABLES
@@ -97,7 +98,11 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> int:
         "ingestion": ingestion,
         "parsing": lambda: stages.parse(spark, layers),
         "nlp": lambda: stages.understand(
-            spark, layers, overrides=read_overrides(spark, layers.overrides), generate=label_with
+            spark,
+            layers,
+            ThemeClusterer.for_scale(args.scale, k=args.themes, noise_ratio=args.noise_ratio),
+            overrides=read_overrides(spark, layers.overrides),
+            generate=label_with,
         ),
         "drift": lambda: stages.drift(spark, layers),
         "explain": lambda: stages.explain(
@@ -152,6 +157,8 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--companies", help="file with one entity key per line")
     run.add_argument("--submissions", help="bulk archive of submissions")
     run.add_argument("--user-agent", help="identifies the caller to the archive")
+    run.add_argument("--themes", type=int, help="number of themes; found from the data if left out")
+    run.add_argument("--noise-ratio", type=float, default=ThemeClusterer.noise_ratio)
     run.add_argument("--max-explanations", type=int, default=MAX_EXPLANATIONS)
     run.add_argument("--no-text-service", action="store_true")
     for stage in STAGES:

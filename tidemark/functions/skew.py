@@ -29,6 +29,11 @@ def salted_join(
     return salted_big.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
+def broadcast_if_few(small: DataFrame) -> DataFrame:
+    """A table such as the themes with a broadcast hint once its rows are counted and few."""
+    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+
+
 def lookup_join(
     big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[str], how: str = "inner"
 ) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
+from tidemark.functions.skew import lookup_join
 from tidemark.functions.scoring import kept_and_noise_counts, per_unit
 from tidemark.operators.changes import TIE_DIGITS
 
@@ -27,9 +28,8 @@ _KEY = ["cik", "cluster_id", "fiscal_year"]
 
 def change_feed(changes: DataFrame, themes: DataFrame, companies: DataFrame) -> DataFrame:
     """Changes with theme label and company metadata (left joins on unique keys)."""
-    return changes.join(themes.select("cluster_id", "label"), "cluster_id", "left").join(
-        companies.select("cik", "ticker", "name", "sector"), "cik", "left"
-    )
+    named = lookup_join(changes, themes.select("cluster_id", "label"), ["cluster_id"], _KEY, "left")
+    return named.join(companies.select("cik", "ticker", "name", "sector"), "cik", "left")
 
 
 def filter_feed(

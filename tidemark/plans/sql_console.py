@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.skew import broadcast_if_few
 from tidemark.schemas import GOLD_TABLES
 
 # The preset reports; their column names, threshold, label patterns and row limit are fixed.
@@ -41,8 +42,10 @@ PRESETS = {
 
 
 def register_frames(**tables: DataFrame) -> None:
+    """Temp views; the themes are broadcast when they are few, so that no change table is shuffled on
+    their handful of keys."""
     for name, frame in tables.items():
-        frame.createOrReplaceTempView(name)
+        (broadcast_if_few(frame) if name == "themes" else frame).createOrReplaceTempView(name)
 
 
 def register_gold(spark: SparkSession, gold_dir: str) -> list[str]:
