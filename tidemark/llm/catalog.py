@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import sql
 from tidemark.llm.bpe import digest_documents
+from tidemark.llm.common import prepare
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language import address, identify, markup_language, visible_text
@@ -19,7 +20,6 @@ from tidemark.llm.quality import quality_scores
 from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.warc import archive
-from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,7 +32,7 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
