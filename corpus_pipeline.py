@@ -7,17 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import digest_documents
-from tidemark.llm.common import drop_ids, saved
+from tidemark.llm.common import drop_ids, prepare, saved
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.language import identify
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.near_dedup import near_duplicates
-from tidemark.session import ship_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language stay; ``lang`` is their declaration, ``source`` their host."""
-    ship_package(spark)
+    prepare(spark)
     host = F.col("source").cast("string")
     found = identify(docs, F.col("text"), F.col("lang"), host, host, key=F.col("doc_id"))
     return found.filter("accepted").select(*docs.columns)
@@ -25,7 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier line go; every document stays, with its new length."""
-    ship_package(spark)
+    prepare(spark)
     cut = dedup_lines(docs)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
@@ -33,7 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays. Rows that share an id are
     one document and stay or go together: it goes when all of them have a better copy."""
-    ship_package(spark)
+    prepare(spark)
     decided = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
     gone = saved(decided.filter(~F.col("kept")).select("doc_id"), "near-copies")
     return drop_ids(docs, gone, "doc_id")
@@ -41,13 +40,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    ship_package(spark)
+    prepare(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document, with digests of the tokens and of what they decode to."""
-    ship_package(spark)
+    prepare(spark)
     ranks = str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return digest_documents(docs, ranks, public_tokenizers.PATTERN, with_ids=True)
 
@@ -66,7 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's documents are written before the next reads them."""
-    ship_package(spark)
+    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
