@@ -91,3 +91,40 @@ def test_edge_rows(spark):
     got = {(r.doc_id, r.n_assign, r.spans) for r in S.scan_secrets(df).collect()}
     assert got == {(1, 0, ""), (None, 1, "assign:0:13"), (2, 1, "assign:400000:400013")}
     assert S.scan_secrets(df.limit(0)).count() == 0
+
+
+SECRET = "password = correcthorse9"
+
+
+def code_of(raw):
+    return base64.b64encode(raw).decode()
+
+
+def test_unreadable_layers_are_scanned():
+    odd = [" ", "　", "‍", "﻿", "­", "\x0c", "\0"]
+    for raw in [*(f"{c}{SECRET}{c}".encode() for c in odd), b"\xe9 " + SECRET.encode()]:
+        for packed in (raw, gzip.compress(raw)):
+            token = code_of(packed)
+            assert [(x[0].split("/")[-1], *x[1:]) for x in spans(f"z {token}")[0]] == [("assign", 2, 2 + len(token))]
+    run = "".join(f"%{b:02X}" for b in b"\xe9 " + SECRET.encode())
+    assert ("url/assign", 0, len(run)) in spans(run)[0]
+    points = "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in SECRET)
+    assert ("unicode/assign", 0, len(points)) in spans(points)[0]
+
+
+def test_wrapped_and_shifted_base64():
+    for raw in (f"some words before, {SECRET} and some after it, {'x y ' * 40}".encode(), gzip.compress(f"{SECRET} {list(range(99))}".encode())):
+        code = code_of(raw)
+        for width in (20, 64, 76):
+            for end in ("\n", "\r\n", "\n    ", "\\n"):
+                wrapped = end.join(code[i : i + width] for i in range(0, len(code), width))
+                assert any(k.endswith("assign") for k, _, _ in spans(f"key: {wrapped}\n\n")[0]), (width, end)
+        for lead in ("a/", "ab/", "abc/", "path/to/some/", "key-", "a_b"):
+            assert any(k.endswith("assign") for k, _, _ in spans(f"go {lead}{code}")[0]), lead
+
+
+def test_compressed_escaped_bytes():
+    for raw in (gzip.compress(SECRET.encode()), zlib.compress(SECRET.encode())):
+        runs = ["".join(f"%{b:02x}" for b in raw), urllib.parse.quote(raw), "".join(f"\\x{b:02x}" for b in raw), repr(raw)[2:-1], "".join(f"\\u{b:04x}" for b in raw)]
+        for run in runs:
+            assert ("bytes/packed/assign", 3, 3 + len(run)) in spans(f"go {run}")[0], run

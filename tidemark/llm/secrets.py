@@ -9,7 +9,6 @@ of the original text each of its characters comes from.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -42,7 +41,23 @@ _ESCAPED_POINTS = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-#: A compressed layer that unpacks to more than this is not opened but counted in ``n_unopened``.
+# Base64 over several lines; a line break may itself be escaped.
+_BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")
+_WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{{4,}}+{_BREAK.pattern})+[A-Za-z0-9+/_-]+={{0,2}}")
+#: Starts of gzip, zlib, bzip2, xz and Zstandard data.
+_PACKED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: What any secret or further layer has; bytes without it can add nothing.
+_WORTH = re.compile(rb"[A-Za-z0-9+/_-]{16}|[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{6}|%[0-9A-Fa-f]{2}|\\|&#|[A-Za-z0-9+/_-]{4}[ \t]*\r?\n")
+_DAMAGED = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
+_NAMED = r"\\[\\'\"abfnrtv0]|[ -\[\]-~]"
+_NAMES = {"\\" + c: v for c, v in zip("abfnrtv0", (7, 8, 12, 10, 13, 9, 11, 0))}
+#: Runs in which compressed data may be written: mark, run, one byte of it.
+_BYTE_RUNS = (
+    ("%", re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-$&-~])+"), re.compile(r"%([0-9A-Fa-f]{2})|[!-$&-~]")),
+    ("\\x", re.compile(rf"(?:\\x[0-9A-Fa-f]{{2}}|{_NAMED})+"), re.compile(rf"\\x([0-9A-Fa-f]{{2}})|{_NAMED}")),
+    ("\\u00", re.compile(rf"(?:\\u00[0-9A-Fa-f]{{2}}|{_NAMED})+"), re.compile(rf"\\u00([0-9A-Fa-f]{{2}})|{_NAMED}")),
+)
+#: A layer that unpacks to more than this is not opened but counted in ``n_unopened``.
 MAX_LAYER_BYTES = 64 << 20
 
 Found = set[tuple[str, int, int]]
@@ -114,14 +129,15 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | N
     return Layer("".join(out), layer.inside(name), cuts)
 
 
-def _bytes_text(raw: bytes) -> str | None:
+def _bytes_text(raw: bytes) -> str:
+    """Bytes that are not UTF-8 are read one by one: all patterns are ASCII."""
     try:
         return raw.decode()
     except UnicodeDecodeError:
-        return None
+        return raw.decode("latin-1")
 
 
-def _escaped_bytes(run: str) -> str | None:
+def _escaped_bytes(run: str) -> str:
     return _bytes_text(bytes.fromhex(run.replace("%", "")))
 
 
@@ -129,100 +145,204 @@ def _escaped_points(run: str) -> str | None:
     if run.startswith("&#"):
         point = int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1])
     elif run.startswith("\\x"):
-        raw = bytes.fromhex(run.replace("\\x", ""))
-        return _bytes_text(raw) or raw.decode("latin-1")
+        return _bytes_text(bytes.fromhex(run.replace("\\x", "")))
     elif run.startswith("\\u{"):
         point = int(run[3:-1], 16)
     elif run.startswith("\\U"):
         point = int(run[2:], 16)
     else:  # UTF-16 units, pairs of surrogates included
-        try:
-            return bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be")
-        except UnicodeDecodeError:
-            return None
+        return bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be", "replace")
     return chr(point) if point < 0x110000 and not 0xD800 <= point < 0xE000 else None
 
 
-def _unpack(raw: bytes) -> bytes | None:
-    """Content of gzip, zlib, bzip2, xz or Zstandard data; None for other data."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2]) % 31 == 0):
-            packed = zlib.decompressobj(zlib.MAX_WBITS | 32)
-            out = packed.decompress(raw, MAX_LAYER_BYTES + 1)
-            return out if packed.eof or len(out) > MAX_LAYER_BYTES else None
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, MAX_LAYER_BYTES + 1)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(raw, MAX_LAYER_BYTES + 1)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().stream_reader(raw).read(MAX_LAYER_BYTES + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
-        return None
+class Unpacked(bytes):
+    """Content of compressed data; ``end`` is where that ended, None if it broke off."""
+
+    end: int | None = None
+
+
+def _decompressor(head: bytes):
+    """Makes the decompressor of the data that begins so; None for other data."""
+    if head[:2] == b"\x1f\x8b":
+        return _GZIP
+    if head[:1] == b"x" and len(head) > 2 and int.from_bytes(head[:2]) % 31 == 0:
+        return zlib.decompressobj
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor
+    return _ZSTD if head[:4] == b"\x28\xb5\x2f\xfd" else None
+
+
+def _GZIP():
+    return zlib.decompressobj(zlib.MAX_WBITS | 16)
+
+
+def _ZSTD():
+    return zstandard.ZstdDecompressor().decompressobj()
+
+
+def _member(raw, at: int, new, step: int) -> Iterator[bytes]:
+    """Content of one member or frame in pieces; returns its end, None if the data ends before."""
+    packed, piece = new(), min(1 << 20, MAX_LAYER_BYTES + 1)
+    while at < len(raw):
+        data = raw[at : at + step]
+        at += len(data)
+        while True:
+            out = packed.decompress(data) if new is _ZSTD else packed.decompress(data, piece)
+            if out:
+                yield out
+            if packed.eof:
+                return at - len(packed.unused_data)
+            data = getattr(packed, "unconsumed_tail", b"")
+            if new is _ZSTD or len(out) < piece and not data:
+                break
     return None
 
 
-def _readable(text: str) -> bool:
-    return bool(text) and all(c.isprintable() or c in "\t\r\n" for c in text)
+def _stream(raw) -> Iterator[bytes]:
+    """Content of the first member or frame of ``raw`` in pieces; returns its end."""
+    new = _decompressor(bytes(raw[:6]))
+    if new is None:
+        return None
+    try:
+        return (yield from _member(raw, 0, new, 64 if new is _ZSTD else 4096))
+    except _DAMAGED:
+        return None
 
 
-def _segments(layer: Layer) -> Iterator[tuple[Layer | None, bool]]:
-    """Layers from the base64 segments of a layer, compressed content unpacked; and whether a layer
-    was too large to be opened."""
-    for m in _BASE64.finditer(layer.text):
-        code = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(code) % 4 == 1:
-            continue
+def _unpack(raw) -> Unpacked | None:
+    """Content of the gzip, zlib, bzip2, xz or Zstandard data at the start of ``raw``;
+    None for other data. It stops in the piece that passes ``MAX_LAYER_BYTES``."""
+    out, end, stream = bytearray(), None, _stream(raw)
+    while len(out) <= MAX_LAYER_BYTES:
         try:
-            raw = base64.b64decode(code + "=" * (-len(code) % 4))
-        except binascii.Error:
+            out += next(stream)
+        except StopIteration as stop:
+            end = stop.value
+            break
+    if not out:
+        return None
+    content = Unpacked(out)
+    content.end = end
+    return content
+
+
+def _opened(raw, path: str, span: tuple[int, int], own: bool) -> Iterator[tuple[Layer | None, bool]]:
+    """The layers of decoded bytes: their text, and the content of all compressed data in them,
+    wherever it starts. With ``own`` false, a text that can add nothing is left out. True marks what is counted."""
+    todo = deque([(raw, path)])
+    while todo:
+        raw, path = todo.popleft()
+        if path.count("packed/") > 64:  # data that unpacks to new data again and again
+            yield None, True
             continue
-        path = layer.inside("base64")
-        while (inner := _unpack(raw)) is not None and inner != raw:
-            if len(inner) > MAX_LAYER_BYTES:
-                yield None, True
-                break
-            raw, path = inner, f"{path}packed/"
-            if path.count("packed/") > 64:  # data that unpacks to new data again and again
-                yield None, True
-                break
-        else:
-            text = _bytes_text(raw)
-            if text is not None and _readable(text):
-                yield Layer(text, path, [(0, *layer.origin(m.start(), m.end()))]), False
+        at, whole, view = 0, False, memoryview(raw)
+        starts = _PACKED.finditer(raw)
+        while at is not None and at < len(raw):
+            inner = _unpack(view[at:] if at else raw)
+            end = None
+            if inner is not None and inner != raw:
+                end = getattr(inner, "end", len(raw))
+                whole = whole or (at == 0 and end == len(raw))
+                if len(inner) > MAX_LAYER_BYTES:
+                    yield None, True
+                else:
+                    todo.append((bytes(inner), f"{path}packed/"))
+            # Data that breaks off may be none at all, and hide the start of other data.
+            least = at + 1 if end is None else at + max(1, end)
+            at = next((m.start() for m in starts if m.start() >= least), None)
+        if not whole and (own or path.endswith("packed/") or _WORTH.search(raw)):
+            yield Layer(_bytes_text(raw), path, [(0, *span)]), False
+
+
+def _codes(layer: Layer) -> Iterator[tuple[int, int, str]]:
+    """Base64 segments, in one line and over line breaks: start, end, characters."""
+    for m in _BASE64.finditer(layer.text):
+        yield m.start(), m.end(), m[0]
+    for m in _WRAPPED.finditer(layer.text):
+        code = _BREAK.sub("", m[0])
+        if len(code) >= 16:
+            yield m.start(), m.end(), code
+
+
+def _byte_runs(text: str) -> Iterator[tuple[list[int], bytes]]:
+    """Runs of escaped and plain bytes that hold compressed data: where each byte starts in the
+    text, then the end of the last; and the bytes."""
+    for mark, run, one in _BYTE_RUNS:
+        if mark not in text:
+            continue
+        for m in run.finditer(text):
+            if mark not in m[0]:
+                continue
+            parts = list(one.finditer(text, m.start(), m.end()))
+            raw = bytes(int(p[1], 16) if p[1] else _NAMES.get(p[0], ord(p[0][-1])) for p in parts)
+            if _PACKED.search(raw):
+                yield [*(p.start() for p in parts), m.end()], raw
+
+
+def _segments(layer: Layer) -> Iterator[tuple[Layer | None, bool]]:
+    """Layers from the base64 segments of a layer, read from each of the first four characters as
+    other text may precede, and from runs of escaped bytes, compressed content unpacked; and
+    whether a layer is counted as too large."""
+    for start, end, code in _codes(layer):
+        code = code.rstrip("=").replace("-", "+").replace("_", "/")
+        span = layer.origin(start, end)
+        for skip in range(4):
+            part = code[skip:]
+            part = part[:-1] if len(part) % 4 == 1 else part
+            raw = base64.b64decode(part + "=" * (-len(part) % 4))
+            if raw:
+                yield from _opened(raw, layer.inside("base64"), span, not skip)
+    for starts, raw in _byte_runs(layer.text):
+        first = _PACKED.search(raw).start()
+        span = layer.origin(starts[first], starts[-1])
+        for found, large in _opened(raw[first:], layer.inside("bytes"), span, False):
+            # The text of the run itself is decoded in place.
+            if found is None or found.path.endswith("packed/"):
+                yield found, large
 
 
 def unwrap(text: str) -> tuple[list[tuple[str, int, int]], Found, int, int]:
-    """Base matches of ``text``; matches that decoded layers add; number of layers; layers refused."""
+    """Base matches of ``text``; matches that decoded layers add; number of layers; layers too large
+    to be held whole or nested too deep."""
     base = list(scan(text))
     known = {(k, a, b) for k, a, b in base}
     added: Found = set()
     refused, layers = 0, 1
     seen = {hashlib.blake2b(text.encode(), digest_size=16).digest()}
-    work = deque([Layer(text, "", [(0, 0, None)])])
-    while work:
-        layer = work.popleft()
-        children = [
-            _replaced(layer, _ESCAPED_BYTES, _escaped_bytes, "url") if "%" in layer.text else None,
-            _replaced(layer, _ESCAPED_POINTS, _escaped_points, "unicode") if "\\" in layer.text or "&#" in layer.text else None,
-        ]
-        for child, large in _segments(layer):
-            refused += large
-            children.append(child)
-        for child in children:
-            if child is None:
-                continue
-            first = child.cuts[0][1:] if len(child.cuts) == 1 else ("whole",)
-            mark = hashlib.blake2b(f"{first}:{child.text}".encode(), digest_size=16).digest()
-            if mark in seen:
-                continue
-            seen.add(mark)
-            layers += 1
-            work.append(child)
-            for kind, start, end in scan(child.text):
-                span = child.origin(start, end)
-                if (kind, *span) not in known:
-                    known.add((kind, *span))
-                    added.add((child.path + kind, *span))
+
+    def new(child: Layer) -> bool:
+        nonlocal layers
+        first = child.cuts[0][1:] if len(child.cuts) == 1 else ("whole",)
+        mark = hashlib.blake2b(f"{first}:{child.text}".encode(), digest_size=16).digest()
+        if mark in seen:
+            return False
+        seen.add(mark)
+        layers += 1
+        for kind, start, end in scan(child.text):
+            span = child.origin(start, end)
+            if (kind, *span) not in known:
+                known.add((kind, *span))
+                added.add((child.path + kind, *span))
+        return True
+
+    def drain(work: deque) -> None:
+        nonlocal refused
+        while work:
+            layer = work.popleft()
+            children = [
+                _replaced(layer, _ESCAPED_BYTES, _escaped_bytes, "url") if "%" in layer.text else None,
+                _replaced(layer, _ESCAPED_POINTS, _escaped_points, "unicode") if "\\" in layer.text or "&#" in layer.text else None,
+            ]
+            for child, large in _segments(layer):
+                refused += large
+                children.append(child)
+            for child in children:
+                if child is not None and new(child):
+                    work.append(child)
+
+    drain(deque([Layer(text, "", [(0, 0, None)])]))
     return base, added, layers, refused
 
 
