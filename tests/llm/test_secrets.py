@@ -1,12 +1,17 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
+import random
 import re
 import urllib.parse
 import zlib
 
+import zstandard
+
 from tidemark.llm import secrets as S
 
 
@@ -128,3 +133,37 @@ def test_compressed_escaped_bytes():
         runs = ["".join(f"%{b:02x}" for b in raw), urllib.parse.quote(raw), "".join(f"\\x{b:02x}" for b in raw), repr(raw)[2:-1], "".join(f"\\u{b:04x}" for b in raw)]
         for run in runs:
             assert ("bytes/packed/assign", 3, 3 + len(run)) in spans(f"go {run}")[0], run
+
+
+def packers():
+    return [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress]
+
+
+def test_all_members_are_read():
+    for pack in packers():
+        for raw in (pack(b"a") + pack(SECRET.encode()), pack(b"a") + gzip.compress(b"b") + pack(SECRET.encode())):
+            token = code_of(raw)
+            assert [x[1:] for x in spans(f"z {token}")[0]] == [(2, 2 + len(token))], pack
+
+
+def test_truncated_and_damaged_members():
+    noise = random.Random(1).randbytes(3000)
+    for pack in packers():
+        raw = pack(SECRET.encode() + b" " + noise)
+        if pack is not bz2.compress:  # a block of bzip2 is only readable whole
+            assert spans(f"z {code_of(raw[: len(raw) // 2])}")[0], pack
+    for raw in (gzip.compress(SECRET.encode())[:-8] + b"12345678", zlib.compress(SECRET.encode())[:-1]):
+        assert spans(f"z {code_of(raw)}")[0]
+
+
+def test_large_layers_are_scanned(monkeypatch):
+    monkeypatch.setattr(S, "MAX_LAYER_BYTES", 1000)
+    inner = code_of(SECRET.encode())
+    for pack in packers():
+        for at in range(0, 5000, 61):
+            for secret in (SECRET, inner) if pack is zlib.compress else (SECRET,):
+                token = code_of(pack(b"z " * (at // 2) + secret.encode() + b" z" * ((5000 - at) // 2)))
+                base, added, _, large = S.unwrap(f"z {token}")
+                assert [x[1:] for x in added] == [(2, 2 + len(token))] and large >= 1, (pack, at)
+    twice = code_of(gzip.compress(gzip.compress(b"z " * 3000 + SECRET.encode())))
+    assert len(S.unwrap(f"z {twice}")[1]) == 1

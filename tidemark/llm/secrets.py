@@ -57,7 +57,7 @@ _BYTE_RUNS = (
     ("\\x", re.compile(rf"(?:\\x[0-9A-Fa-f]{{2}}|{_NAMED})+"), re.compile(rf"\\x([0-9A-Fa-f]{{2}})|{_NAMED}")),
     ("\\u00", re.compile(rf"(?:\\u00[0-9A-Fa-f]{{2}}|{_NAMED})+"), re.compile(rf"\\u00([0-9A-Fa-f]{{2}})|{_NAMED}")),
 )
-#: A layer that unpacks to more than this is not opened but counted in ``n_unopened``.
+#: A layer that unpacks to more than this is read in overlapping chunks and counted in ``n_unopened``.
 MAX_LAYER_BYTES = 64 << 20
 
 Found = set[tuple[str, int, int]]
@@ -201,18 +201,41 @@ def _member(raw, at: int, new, step: int) -> Iterator[bytes]:
 
 
 def _stream(raw) -> Iterator[bytes]:
-    """Content of the first member or frame of ``raw`` in pieces; returns its end."""
+    """Content of all members or frames at the start of ``raw`` in pieces, of a damaged one as far
+    as it goes; returns the end of the last, None if it breaks off."""
+    at, end = 0, None
     new = _decompressor(bytes(raw[:6]))
-    if new is None:
-        return None
-    try:
-        return (yield from _member(raw, 0, new, 64 if new is _ZSTD else 4096))
-    except _DAMAGED:
-        return None
+    while new is not None and _decompressor(bytes(raw[at : at + 6])) is new:
+        given = 0
+        try:
+            member = _member(raw, at, new, 64 if new is _ZSTD else 4096)
+            while True:
+                try:
+                    out = next(member)
+                except StopIteration as stop:
+                    end = stop.value
+                    break
+                given += len(out)
+                yield out
+        except _DAMAGED:
+            try:  # byte by byte, for what came before the damage
+                for out in _member(raw, at, new, 1):
+                    if len(out) > given:
+                        yield out[given:]
+                    given = max(0, given - len(out))
+            except _DAMAGED:
+                pass
+            return None
+        if end is None:
+            return None
+        at = end
+        while at < len(raw) and raw[at] == 0:  # padding between members
+            at += 1
+    return end
 
 
 def _unpack(raw) -> Unpacked | None:
-    """Content of the gzip, zlib, bzip2, xz or Zstandard data at the start of ``raw``;
+    """Content of the gzip, zlib, bzip2, xz or Zstandard data at the start of ``raw``, all members;
     None for other data. It stops in the piece that passes ``MAX_LAYER_BYTES``."""
     out, end, stream = bytearray(), None, _stream(raw)
     while len(out) <= MAX_LAYER_BYTES:
@@ -228,9 +251,21 @@ def _unpack(raw) -> Unpacked | None:
     return content
 
 
-def _opened(raw, path: str, span: tuple[int, int], own: bool) -> Iterator[tuple[Layer | None, bool]]:
+def _chunks(raw) -> Iterator[bytes]:
+    """The content of ``_stream`` in chunks that overlap."""
+    held, lap = bytearray(), min(1 << 16, MAX_LAYER_BYTES // 4)
+    for piece in _stream(raw):
+        held += piece
+        if len(held) > MAX_LAYER_BYTES:
+            yield bytes(held)
+            del held[:-lap]
+    yield bytes(held)
+
+
+def _opened(raw, path: str, span: tuple[int, int], own: bool) -> Iterator[tuple[Layer | Iterator | None, bool]]:
     """The layers of decoded bytes: their text, and the content of all compressed data in them,
-    wherever it starts. With ``own`` false, a text that can add nothing is left out. True marks what is counted."""
+    wherever it starts. A layer above ``MAX_LAYER_BYTES`` is an iterator of the layers of its chunks.
+    With ``own`` false, a text that can add nothing is left out. True marks what is counted."""
     todo = deque([(raw, path)])
     while todo:
         raw, path = todo.popleft()
@@ -246,7 +281,7 @@ def _opened(raw, path: str, span: tuple[int, int], own: bool) -> Iterator[tuple[
                 end = getattr(inner, "end", len(raw))
                 whole = whole or (at == 0 and end == len(raw))
                 if len(inner) > MAX_LAYER_BYTES:
-                    yield None, True
+                    yield _large(view[at:], f"{path}packed/", span), True
                 else:
                     todo.append((bytes(inner), f"{path}packed/"))
             # Data that breaks off may be none at all, and hide the start of other data.
@@ -256,6 +291,11 @@ def _opened(raw, path: str, span: tuple[int, int], own: bool) -> Iterator[tuple[
             yield Layer(_bytes_text(raw), path, [(0, *span)]), False
 
 
+def _large(raw, path: str, span: tuple[int, int]) -> Iterator[tuple[Layer | Iterator | None, bool]]:
+    for chunk in _chunks(raw):
+        yield from _opened(chunk, path, span, True)
+
+
 def _codes(layer: Layer) -> Iterator[tuple[int, int, str]]:
     """Base64 segments, in one line and over line breaks: start, end, characters."""
     for m in _BASE64.finditer(layer.text):
@@ -281,7 +321,7 @@ def _byte_runs(text: str) -> Iterator[tuple[list[int], bytes]]:
                 yield [*(p.start() for p in parts), m.end()], raw
 
 
-def _segments(layer: Layer) -> Iterator[tuple[Layer | None, bool]]:
+def _segments(layer: Layer) -> Iterator[tuple[Layer | Iterator | None, bool]]:
     """Layers from the base64 segments of a layer, read from each of the first four characters as
     other text may precede, and from runs of escaped bytes, compressed content unpacked; and
     whether a layer is counted as too large."""
@@ -299,7 +339,7 @@ def _segments(layer: Layer) -> Iterator[tuple[Layer | None, bool]]:
         span = layer.origin(starts[first], starts[-1])
         for found, large in _opened(raw[first:], layer.inside("bytes"), span, False):
             # The text of the run itself is decoded in place.
-            if found is None or found.path.endswith("packed/"):
+            if not isinstance(found, Layer) or found.path.endswith("packed/"):
                 yield found, large
 
 
@@ -331,6 +371,12 @@ def unwrap(text: str) -> tuple[list[tuple[str, int, int]], Found, int, int]:
         nonlocal refused
         while work:
             layer = work.popleft()
+            if not isinstance(layer, Layer):  # chunks, each with all it holds before the next
+                for child, large in layer:
+                    refused += large
+                    if child is not None and (not isinstance(child, Layer) or new(child)):
+                        drain(deque([child]))
+                continue
             children = [
                 _replaced(layer, _ESCAPED_BYTES, _escaped_bytes, "url") if "%" in layer.text else None,
                 _replaced(layer, _ESCAPED_POINTS, _escaped_points, "unicode") if "\\" in layer.text or "&#" in layer.text else None,
@@ -339,7 +385,7 @@ def unwrap(text: str) -> tuple[list[tuple[str, int, int]], Found, int, int]:
                 refused += large
                 children.append(child)
             for child in children:
-                if child is not None and new(child):
+                if child is not None and (not isinstance(child, Layer) or new(child)):
                     work.append(child)
 
     drain(deque([Layer(text, "", [(0, 0, None)])]))
