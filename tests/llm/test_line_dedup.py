@@ -120,3 +120,14 @@ def test_given_documents(spark, sf):
     want = brute([(r.doc_id, r.text) for r in docs.collect()], L.EDITS)
     for r in L.dedup_lines(docs).collect():
         assert r.text == want[r.doc_id][0]
+
+
+def test_registered_threshold_is_verified_by_the_banded_distance(spark, monkeypatch):
+    called = []
+    banded = L._banded
+    monkeypatch.setattr(L, "_banded", lambda *a: called.append(a) or banded(*a))
+    line = "Copyright %s The Authors. All rights reserved. Item %02d of the list."
+    texts = [line % (2019, 10), line % (2021, 10), line % (2019, 47), line % (2021, 47)]
+    assert L.repeats(texts, [0] * 4, L.EDITS) == [1, 2, 3] and called
+    df = spark.createDataFrame([(i, x, 0, "", "") for i, x in enumerate(texts)], SCHEMA)
+    assert {r.doc_id for r in L.dedup_lines(df).collect() if r.text} == {0}

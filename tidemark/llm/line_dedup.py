@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import column, saved, whole_rows, whole_text
 
 #: Lines within so many edits of an earlier line are removed.
-EDITS = 1
+EDITS = 2
 #: Shorter lines are never removed: headings, brackets and list marks repeat for good reason.
 LEAST_LINE = 20
 #: Lines on either side of one block of comparisons.
