@@ -112,3 +112,13 @@ def test_declared_languages_are_found_again(spark, sf):
     got = L.identify(docs, F.col("text"), F.col("lang"), F.col("source"), F.col("source"), key=F.col("doc_id"))
     right = got.filter((F.col("lang") == F.col("language")) & F.col("accepted")).count()
     assert right >= 0.97 * docs.count()
+
+
+def test_many_languages(spark):
+    rng = np.random.default_rng(3)
+    tags = [f"{a}{b}" for a in "abcdefg" for b in "klmnopqrst"]
+    words = {x: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)] for x in tags}
+    rows = [(i, " ".join(rng.choice(words[x], 40)), x, None, 1) for i, x in enumerate(tags * 6)]
+    got = run(spark, rows).collect()
+    assert len(tags) == 70 and len(got) == 420
+    assert all(r.language == r.lang and r.accepted for r in got)

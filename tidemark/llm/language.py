@@ -24,8 +24,8 @@ from tidemark.llm.common import own_columns, saved, whole_rows
 UNKNOWN = "und"
 #: Text likelihoods are learned from at most so many rows of each declared language.
 ROWS_PER_LANGUAGE = 1000
-#: Declared languages with fewer rows get no model; at most so many languages do.
-LEAST_ROWS, MAX_LANGUAGES = 5, 64
+#: Declared languages with fewer rows get no model.
+LEAST_ROWS = 5
 #: Buckets that byte trigrams are hashed into.
 BUCKETS = 1 << 15
 #: Trigrams of a text overlap and repeat, so that a long text counts as so many independent ones.
@@ -96,7 +96,8 @@ def markup_language(html: Column) -> Column:
 
 
 def fit(rows: DataFrame, key: str = "_key") -> TextModel:
-    """The text model of the declared languages, from a bounded sample of rows.
+    """The text model of all languages that ``LEAST_ROWS`` rows declare, from a bounded sample of rows.
+    A language costs 128 KB of weights.
 
     The sample are the rows with the smallest hashes of ``key``; counts are aggregated by Spark, and
     only one count per bucket and language reaches the driver.
@@ -105,7 +106,7 @@ def fit(rows: DataFrame, key: str = "_key") -> TextModel:
     support = (
         labelled.groupBy("_declared").agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= LEAST_ROWS)
-        .orderBy(F.desc("n"), "_declared").limit(MAX_LANGUAGES).collect()
+        .collect()
     )
     languages = tuple(sorted(r["_declared"] for r in support))
     if not languages:
@@ -117,21 +118,23 @@ def fit(rows: DataFrame, key: str = "_key") -> TextModel:
         .filter(F.col("_at") <= ROWS_PER_LANGUAGE)
         .groupBy("_declared").agg(F.max("_h").alias("_limit")).collect()
     )
-    chosen = F.lit(False)
-    for r in limits:
-        chosen = chosen | ((F.col("_declared") == r["_declared"]) & (F.col("_h") <= r["_limit"]))
+    last = F.create_map(*[F.lit(x) for r in limits for x in (r["_declared"], r["_limit"])])
+    chosen = F.col("_h") <= F.element_at(last, F.col("_declared"))
     place = {name: i for i, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = np.zeros((len(languages), BUCKETS), np.int64)
+            sums: dict[str, np.ndarray] = {}
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sums[place[name]] += np.bincount(trigrams(text.as_py()), minlength=BUCKETS)
-            where, bucket = np.nonzero(sums)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(where, pa.int32()), pa.array(bucket, pa.int32()), pa.array(sums[where, bucket])],
-                names=["language", "bucket", "n"],
-            )
+                own = sums.setdefault(name, np.zeros(BUCKETS, np.int64))
+                own += np.bincount(trigrams(text.as_py()), minlength=BUCKETS)
+            for name, own in sums.items():
+                bucket = np.flatnonzero(own)
+                where = np.full(len(bucket), place[name])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(where, pa.int32()), pa.array(bucket, pa.int32()), pa.array(own[bucket])],
+                    names=["language", "bucket", "n"],
+                )
 
     counted = (
         hashed.filter(chosen).select("_declared", "_text")
@@ -243,7 +246,7 @@ def identify(
     ``language`` is the most probable one, ``und`` for texts without letters or best explained by no
     known language; ``accepted`` is false for ``und`` and for a confidence below
     ``LEAST_CONFIDENCE``. Null texts count as empty, null evidence is left out. Languages are those
-    that rows of ``df`` declare; with none, all rows are ``und``. Columns of ``df`` named as the three
+    that at least ``LEAST_ROWS`` rows of ``df`` declare, however many; with none, all rows are ``und``. Columns of ``df`` named as the three
     results are replaced. ``key`` orders the training sample and should identify rows.
 
     The texts stay where they are when Spark measures the table of evidence (one row per host,
