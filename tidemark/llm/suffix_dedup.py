@@ -451,7 +451,9 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``doc, variant, ranges``: packed ranges of bytes that occur earlier (pairs of unsigned 32-bit
     numbers); they may overlap, and a document may have several rows.
 
-    Passages count as equal when 128 bits of hashes and their sizes agree; what differs around a common
+    Passages count as equal when the hash of the anchor, the 64-bit hash of all bytes and their sizes
+    agree, without a look at the bytes: passages around one anchor are told apart by 64 bits. Windows
+    of hot anchors are grouped by a 64-bit hash and compared as bytes; what differs around a common
     anchor is sorted and compared byte by byte.
     """
     spark = docs.sparkSession
