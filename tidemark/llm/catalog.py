@@ -20,6 +20,7 @@ from tidemark.llm.quality import quality_scores
 from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.warc import archive
+from tidemark.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +118,9 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Copies among all documents."""
     return exact_dedup(table(spark, sf, "documents"))
+
+
+@query
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Whitened leading coordinates of every embedding."""
+    return whiten(table(spark, sf, "embeddings"))
