@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import sql
 from tidemark.llm.bpe import digest_documents
 from tidemark.llm.common import prepare
+from tidemark.llm.conversation_trie import conversation_trie
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language import address, identify, markup_language, visible_text
@@ -124,3 +125,9 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
     """Whitened leading coordinates of every embedding."""
     return whiten(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of the tree of shared conversation starts."""
+    return conversation_trie(table(spark, sf, "conversations"))

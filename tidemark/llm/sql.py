@@ -44,3 +44,41 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW g AS (PARTITION BY norm)
 """
+
+# CRC-32 bit by bit: a step of -1 shifts, any other is a byte to be mixed in.
+_CRC32 = """
+xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+  string_split(c::VARCHAR, ''), lambda s: [ascii(s)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, s: CASE WHEN s < 0 THEN xor(a >> 1, 3988292384 * (a & 1)) ELSE xor(a, s) END))
+"""
+
+SQL["op12_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT c, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST, sha256(octet_length(encode(r)) || ':' || r || x)) AS turns
+  FROM t GROUP BY c
+), h AS (
+  SELECT c, turns, ({_CRC32} % 4)::INTEGER AS h FROM o
+), w AS (
+  SELECT a.c, list_concat(list_slice(coalesce(b.turns, []), 1, a.h), list_slice(a.turns, a.h + 1, len(a.turns))) AS s
+  FROM h a LEFT JOIN o b ON b.c = a.c - a.c % 20
+), p AS (
+  SELECT c, d, list_slice(s, 1, d) AS pre, len(s) = d AS ended FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM w)
+), n AS (
+  SELECT pre, d, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CASE WHEN ended THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256,
+         CASE WHEN d = 0 THEN 0 ELSE
+           (count(*) - 1) * len(regexp_extract_all(pre[d].x, '[^\\x20\\x09-\\x0D]+')) END AS own
+  FROM p GROUP BY pre, d
+), k AS (
+  SELECT list_slice(pre, 1, d - 1) AS pre, d - 1 AS d, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL
+), f AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children FROM n LEFT JOIN k USING (pre, d)
+), u AS (
+  SELECT list_slice(pre, 1, e) AS pre, e AS d, sum(own)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(d + 1)) AS e FROM f) GROUP BY ALL
+)
+SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, u.n_leaves, u.saved_tokens, f.ends_sha256
+FROM f JOIN u USING (pre, d) LEFT JOIN n q ON q.d = f.d - 1 AND q.pre = list_slice(f.pre, 1, f.d - 1)
+"""
