@@ -16,6 +16,7 @@ from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language import address, identify, markup_language, visible_text
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.secrets import scan_secrets
@@ -131,3 +132,9 @@ def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
 def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     """Nodes of the tree of shared conversation starts."""
     return conversation_trie(table(spark, sf, "conversations"))
+
+
+@query
+def op13_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """How often the mix takes every document."""
+    return mix(table(spark, sf, "documents"))
