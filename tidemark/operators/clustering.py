@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import text as X
 from tidemark.functions import vectors as V
+from tidemark.operators.density import density_clusters
 from tidemark.operators.intensity import NOISE_CLUSTER
 from tidemark.session import cut_lineage, shared_folder
 
@@ -157,53 +158,18 @@ def novel_outliers(
     )
 
 
-def dense_groups(
-    sample: np.ndarray, share: float, min_cluster_size: int, min_samples: int
-) -> np.ndarray:
-    """Centres of the dense groups of a sample, one per row; none when nothing is dense.
-
-    Two points are neighbours within twice the median distance to the ``min_samples``-th nearest
-    point. Points with that many neighbours connect; connected points are a group if it has
-    ``min_cluster_size`` members, in proportion to the ``share`` of all points in the sample.
-    """
-    n = len(sample)
-    if n <= min_samples:
-        return np.empty((0, sample.shape[1] if n else 0))
-    square = (sample**2).sum(axis=1)
-    gap = np.sqrt(np.maximum(square[:, None] + square - 2.0 * sample @ sample.T, 0.0))
-    reach = 2.0 * np.median(np.partition(gap, min_samples, axis=1)[:, min_samples])
-    near = gap <= reach
-    core = near.sum(axis=1) > min_samples
-    group = np.full(n, -1)
-    for start in np.flatnonzero(core):
-        if group[start] >= 0:
-            continue
-        group[start] = start
-        edge = np.array([start])
-        while len(edge):
-            reached = near[edge].any(axis=0) & core & (group < 0)
-            edge = np.flatnonzero(reached)
-            group[edge] = start
-    names, sizes = np.unique(group[group >= 0], return_counts=True)
-    least = max(min_samples, min_cluster_size * share)
-    return np.array([sample[group == g].mean(axis=0) for g in names[sizes >= least]]).reshape(
-        -1, sample.shape[1]
-    )
-
-
 @dataclass
 class ThemeClusterer:
-    """Reduce dimensions, cluster, mark far points as noise.
+    """Reduce dimensions, cluster, mark noise.
 
-    Spark has no density clustering. With ``k`` given, this is PCA and Spark ML's k-means. With
-    ``k`` unset, the number and the first centres of the clusters are the dense groups of a bounded
-    sample (``sample_rows``); all points go to the nearest centre, and once more after the centres
-    have moved to the means. Only when nothing is dense, the fallback rule holds: members //
-    min_cluster_size clusters, between 1 and 3.
+    With ``k`` unset, themes are density clusters over all points (``operators.density``): how many
+    there are and what is noise come from the hierarchy, with ``min_cluster_size`` and
+    ``min_samples``. Only if that finds nothing but noise, the fallback rule holds: k-means with
+    members // min_cluster_size clusters, between 1 and 3.
 
-    A point is noise when it is farther from its centre than ``noise_ratio`` times the median
-    distance in its cluster; there may be none. ``noise_fraction`` makes the farthest share of all
-    points noise instead.
+    With ``k`` given this is k-means, and a point is noise when it is farther from its centre than
+    ``noise_ratio`` times the median distance in its cluster; there may be none. ``noise_fraction``
+    makes the farthest share of all points noise instead.
     """
 
     k: int | None = None
@@ -212,7 +178,6 @@ class ThemeClusterer:
     components: int = REDUCED_DIMENSION
     noise_ratio: float = 3.0
     noise_fraction: float | None = None
-    sample_rows: int = 4000
     seed: int = SEED
 
     @classmethod
@@ -220,33 +185,15 @@ class ThemeClusterer:
         """A clusterer with the density parameters of a scale preset."""
         return cls(**{**density_parameters(scale), **given})
 
-    def _centres(self, reduced: DataFrame, keys: list[str]) -> np.ndarray:
+    def _centres(self, reduced: DataFrame) -> np.ndarray:
         total = reduced.count()
-        k = self.k
-        if k is None:
-            chosen = reduced.orderBy(F.xxhash64(*keys), *keys).limit(self.sample_rows)
-            rows = chosen.select(vector_to_array("_r").alias("r")).collect()
-            sample = np.array([r["r"] for r in rows], dtype="float64").reshape(len(rows), -1)
-            found = dense_groups(
-                sample, len(rows) / max(1, total), self.min_cluster_size, self.min_samples
-            )
-            if len(found):
-                return self._moved(reduced, found)
-            k = max(1, min(FALLBACK_CLUSTERS, total // max(1, self.min_cluster_size)))
+        k = self.k or max(1, min(FALLBACK_CLUSTERS, total // max(1, self.min_cluster_size)))
         if k == 1 or total <= 1:
             means = reduced.agg(Summarizer.mean(F.col("_r")).alias("m")).first()["m"]
             return np.array([means.toArray()]) if total else np.zeros((1, 1))
         fitted = KMeans(k=k, seed=self.seed, featuresCol="_r", predictionCol="_c").fit(reduced)
         return np.array(fitted.clusterCenters())
 
-    def _moved(self, reduced: DataFrame, centres: np.ndarray) -> np.ndarray:
-        placed = reduced.select("_r", _nearest(centres)[0].alias("_c"))
-        means = placed.groupBy("_c").agg(Summarizer.mean(F.col("_r")).alias("m")).collect()
-        moved = centres.copy()
-        for row in means:
-            moved[row["_c"]] = row["m"].toArray()
-        return moved
-
     def fit_predict(self, points: DataFrame) -> DataFrame:
         """``points`` (identity columns and ``embedding``) with ``cluster_id``."""
         keys = [c for c in points.columns if c != "embedding"]
@@ -257,7 +204,12 @@ class ThemeClusterer:
             reduced = reducer.transform(source)
         else:
             reduced = source.withColumn("_r", F.col("_v"))
-        cluster, distance = _nearest(self._centres(reduced, keys))
+        if self.k is None:
+            dense = reduced.select(*keys, "embedding", vector_to_array("_r").alias("_d"))
+            found = cut_lineage(density_clusters(dense, "_d", self.min_cluster_size, self.min_samples))
+            if not found.filter(F.col("cluster_id") != NOISE_CLUSTER).isEmpty():
+                return found.select(*keys, "embedding", "cluster_id")
+        cluster, distance = _nearest(self._centres(reduced))
         measured = cut_lineage(
             reduced.select(*keys, "embedding", cluster.alias("_c"), distance.alias("_d"))
         )

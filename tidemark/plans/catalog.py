@@ -29,6 +29,7 @@ from tidemark.operators import intensity as T
 from tidemark.operators import labels as B
 from tidemark.operators import sections as H
 from tidemark.operators import tracker as R
+from tidemark.operators.density import density_components
 from tidemark import schemas as S
 from tidemark.plans import reports as O
 from tidemark.plans import sql_console as Q
@@ -441,6 +442,25 @@ def text_embeddings(spark, sf):
     )
 
 
+#: Reach and neighbours of the fixed cut of the density tree, for the leading 12 of 64 dimensions.
+DENSITY_REACH, DENSITY_SAMPLES = 0.3, 5
+
+
+@query
+def density_themes(spark, sf):
+    points = A.vector_chunks(spark, sf).select("chunk_id", "embedding")
+    return L.ThemeClusterer().fit_predict(points).select("chunk_id", "cluster_id")
+
+
+@query
+def density_clusters(spark, sf):
+    leading = F.slice("embedding", 1, L.REDUCED_DIMENSION).cast("array<double>")
+    points = A.vector_chunks(spark, sf).select("chunk_id", leading.alias("v"))
+    cut = density_components(points, "v", DENSITY_REACH, DENSITY_SAMPLES)
+    names = cut.filter("is_core").groupBy("component").agg(F.min("chunk_id").alias("name"))
+    return cut.join(names, "component", "left").select("chunk_id", "is_core", F.col("name").alias("component"))
+
+
 @query
 def theme_clusters(spark, sf):
     points = A.vector_chunks(spark, sf).select("chunk_id", "embedding")

@@ -410,6 +410,23 @@ SQL["missing_cluster_centroid"] = _with(
     select="SELECT cluster_id, (dim - 1)::INTEGER AS dim, round(value, 6) AS value FROM centroid "
     "WHERE cluster_id = 3 UNION ALL SELECT 99, range::INTEGER, 0.0 FROM range(64)",
 )
+SQL["density_clusters"] = """
+WITH RECURSIVE points AS (
+  SELECT vec_id::VARCHAR AS chunk_id, embedding[1:12]::DOUBLE[] AS v FROM embeddings
+), pairs AS (
+  SELECT a.chunk_id AS a, b.chunk_id AS b FROM points a JOIN points b
+  ON a.chunk_id <> b.chunk_id AND list_distance(a.v, b.v) <= 0.3
+), core AS (
+  SELECT a FROM pairs GROUP BY a HAVING count(*) >= 5
+), reached AS (
+  SELECT a AS root, a AS place FROM core
+  UNION
+  SELECT r.root, p.b FROM reached r JOIN pairs p ON p.a = r.place JOIN core c ON c.a = p.b
+), named AS (
+  SELECT place, min(root) AS component FROM reached GROUP BY place
+)
+SELECT chunk_id, component IS NOT NULL AS is_core, component FROM points LEFT JOIN named ON place = chunk_id
+"""
 SQL["cluster_stats"] = _with(
     VECTORS,
     select="""
