@@ -106,16 +106,23 @@ def sort_collection(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     columns = np.zeros((width + 1, n), kind)
     for i, t in enumerate(texts):
         columns[: len(t), i] = np.frombuffer(t, np.uint8)[::-1].astype(kind) + kind(1)
-    transform, common = columns[0].copy(), np.zeros(n, kind)
+    # Common prefixes end with one more value, which ranges up to the end need.
+    transform, common = columns[0].copy(), np.zeros(n + 1, kind)
     place = np.arange(n)
     for j in range(width):
         active = np.flatnonzero(columns[j])
-        order, target = _rests(transform, n)
-        # Entry r of ``order`` is the rest of suffix n + r; those of the new ones are not in yet.
-        where = target[place[active]]
-        by = np.argsort(where)
-        new, own = where[by], active[by]
-        rest = order[new - n]
+        order = _rests(transform)
+        # Entry r of ``order`` is the rest of suffix n + r; the rests of the new suffixes are known,
+        # and what stands there in ``order`` gives the new places in rising order.
+        known = place[active]
+        is_rest = np.zeros(len(transform), bool)
+        is_rest[known] = True
+        text_at = np.empty(len(transform), np.int32)
+        text_at[known] = active
+        new = np.flatnonzero(is_rest[order])
+        rest = order[new]
+        own = text_at[rest]
+        new += n
         follows = new > n
         same = np.zeros(len(new), bool)
         same[follows] = transform[order[new[follows] - n - 1]] == transform[rest[follows]]
@@ -134,18 +141,21 @@ def sort_collection(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
         is_old = np.ones(total, bool)
         is_old[new] = False
         merged = []
-        for old, fresh in ((transform, columns[j + 1][own]), (common, to_left)):
-            out = np.empty(total, kind)
-            out[new], out[is_old] = fresh, old
+        for old, fresh in ((transform, columns[j + 1][own]), (common[:-1], to_left)):
+            out = np.empty(total + 1, kind)
+            out[new], out[:-1][is_old] = fresh, old
             merged.append(out)
-        transform, common = merged
+        transform, common = merged[0][:-1], merged[1]
+        common[-1] = np.iinfo(kind).max
         fits = new + 1 < total
         changed = new[fits] + 1
         old_next = is_old[changed]
         common[changed[old_next]] = to_right[fits][old_next]
         place[own] = new
     # With the transform complete, each suffix leads to the one that is a symbol longer.
-    _, target = _rests(transform, n)
+    order = _rests(transform)
+    target = np.empty(len(transform), np.int64)
+    target[order] = np.arange(n, n + len(order))
     who, start = np.empty(len(transform), np.int64), np.empty(len(transform), np.int64)
     alive = at = np.arange(n)
     who[at], start[at] = alive, size
@@ -153,25 +163,21 @@ def sort_collection(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
         longer = size[alive] > j
         alive, at = alive[longer], target[at[longer]]
         who[at], start[at] = alive, size[alive] - j - 1
-    return who, start, common
+    return who, start, common[:-1]
 
 
-def _rests(transform: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the transform by symbol, and for each place the place of the suffix that its symbol
-    begins; the ``n`` empty suffixes come first."""
-    order = np.argsort(transform, kind="stable")[len(transform) - np.count_nonzero(transform) :]
-    target = np.empty(len(transform), np.int64)
-    target[order] = np.arange(n, n + len(order))
-    return order, target
+def _rests(transform: np.ndarray) -> np.ndarray:
+    """Places in the transform by their symbol, those of complete texts left out: entry r is the rest of
+    the r-th suffix after the empty ones, which come first."""
+    return np.argsort(transform, kind="stable")[len(transform) - np.count_nonzero(transform) :]
 
 
 def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Least value in each range [low, high), no range being empty."""
+    """Least value in each range [low, high), no range being empty or reaching the last value."""
     # From the last start to the first, so that nothing between two ranges is looked at.
     by = np.argsort(-low)
-    padded = np.append(values, np.iinfo(values.dtype).max)
     out = np.empty(len(low), values.dtype)
-    out[by] = np.minimum.reduceat(padded, np.column_stack([low[by], high[by]]).ravel())[::2]
+    out[by] = np.minimum.reduceat(values, np.column_stack([low[by], high[by]]).ravel())[::2]
     return out
 
 
