@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import hashlib
 import json
 import sys
 import unicodedata
@@ -342,6 +344,67 @@ def test_cached_download(tmp_path):
     assert path.read_bytes() == b"two" and len(calls) == 2
 
 
+class Server:
+    """Serves ``body`` by ranges; each entry of ``breaks`` ends an answer after so many bytes."""
+
+    def __init__(self, body, breaks=(), ranges=True, lies=None):
+        self.body, self.breaks, self.ranges, self.lies = body, list(breaks), ranges, lies
+        self.asked, self.largest = [], 0
+
+    @contextlib.contextmanager
+    def __call__(self, url, headers, timeout):
+        self.asked.append(headers.get("Range"))
+        at = int(headers["Range"][6:-1]) if self.ranges and "Range" in headers else 0
+        stop = self.breaks.pop(0) if self.breaks else None
+        if stop == "busy":
+            yield http.Answer(503, {}, iter([]))
+            return
+
+        def blocks():
+            sent = 0
+            for i in range(at, len(self.body), 1000):
+                if stop is not None and sent >= stop:
+                    raise ConnectionResetError("gone")
+                block = self.body[i : i + 1000]
+                sent += len(block)
+                self.largest = max(self.largest, len(block))
+                yield block
+
+        said = {"Content-Length": str(self.lies or len(self.body) - at), "ETag": '"1"'}
+        if at:
+            said["Content-Range"] = f"bytes {at}-{len(self.body) - 1}/{len(self.body)}"
+        yield http.Answer(206 if at else 200, said, blocks())
+
+
+@pytest.mark.parametrize("ranges", [True, False])
+def test_download_resumes_after_breaks(tmp_path, ranges):
+    body = bytes(range(256)) * 400
+    server = Server(body, [20_000, "busy", 45_000 if ranges else 70_000, 0], ranges)
+    client = http.HttpClient("me", stream=server, sleep=lambda _: None)
+    target = tmp_path / "a" / "bulk.zip"
+    digest = http.download(client, "u", target.as_uri(), hashlib.sha256(body).hexdigest())
+    assert target.read_bytes() == body and digest == hashlib.sha256(body).hexdigest()
+    assert len(server.asked) == 5 and server.asked[1] == "bytes=20000-" and server.largest == 1000
+    assert [p.name for p in target.parent.iterdir()] == ["bulk.zip"]
+
+
+def test_download_publishes_nothing_that_is_not_whole(tmp_path):
+    body = b"x" * 5000
+    target = tmp_path / "f"
+    target.write_bytes(b"old")
+    for server, more in (
+        (Server(body, [0] * 9), {}), (Server(body), {"sha256": "0" * 64}), (Server(body, lies=4000), {}),
+    ):
+        client = http.HttpClient("me", stream=server, sleep=lambda _: None)
+        with pytest.raises(http.HttpError):
+            http.download(client, "u", target, **more)
+    changed = Server(body, [2000], ranges=False)
+    client = http.HttpClient("me", stream=changed, sleep=lambda _: setattr(changed, "body", b"y" * 5000))
+    with pytest.raises(http.HttpError, match="changed"):
+        http.download(client, "u", target)
+    assert target.read_bytes() == b"old" and list(tmp_path.iterdir()) == [target]
+
+
 def fake_client(_):
     """Built inside the task; a local class travels with the function."""
 
