@@ -10,11 +10,11 @@ from check_oracle import compare, connect
 
 import __spark_entry__ as entry
 
-WITHOUT_SQL = {"text_embeddings", "theme_clusters", "density_themes"}
+WITHOUT_SQL = {"text_embeddings", "theme_clusters", "density_themes", "neighbour_graph"}
 CHOSEN = [
     "intensity", "intensity_events", "presence_matrix", "yoy_changes", "yoy_with_zero_rows",
     "ranked_changes", "top_changes", "emerging_themes", "theme_prevalence", "corpus_stats",
-    "cluster_centroids", "density_clusters", "centroid_drift", "distribution_drift", "novel_outliers",
+    "cluster_centroids", "density_clusters", "nearest_vectors", "centroid_drift", "distribution_drift", "novel_outliers",
     "missing_embeddings", "cleaned_text", "prose_flags", "paragraphs", "chunks",
     "keyword_labels", "theme_label_choice", "extracted_sections", "page_text",
     "recent_annual_filings", "standard_facts", "explanations", "explanation_prompts",

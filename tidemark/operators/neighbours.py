@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
@@ -183,15 +183,21 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.groupBy("id").agg(F.slice(F.array_sort(merged), 1, k).alias("near"))
 
 
-def nearest_neighbours(placed: DataFrame, cells: Cells, k: int) -> DataFrame:
+def nearest_in_cell(queries: DataFrame, placed: DataFrame, cells: Cells, k: int) -> DataFrame:
+    """``id, near``: the ``k`` nearest other vectors of the own cell."""
+    members = placed.select("id", "v", "weight", "cell")
+    asking = queries.select("id", "v", "cell", F.col("cell").alias("to_cell"))
+    return cut_lineage(_best(compared(asking, members, cells, _nearest_in(k), f"id bigint, near {NEAR}"), k))
+
+
+def nearest_neighbours(placed: DataFrame, cells: Cells, k: int, queries: DataFrame | None = None) -> DataFrame:
     """``id, near``: the ``k`` nearest other vectors of each, nearest first (ties: the smaller id), all of
-    them where there are fewer. Exact: the own cell bounds the distance, then the cells within it."""
+    them where there are fewer. Exact: the own cell bounds the distance, then the cells within it.
+    ``queries`` are the rows of ``placed`` to ask for, by default all."""
     members = placed.select("id", "v", "weight", "cell")
     schema = f"id bigint, near {NEAR}"
-    queries = placed.select("id", "v", "cell")
-    first = cut_lineage(
-        _best(compared(queries.withColumn("to_cell", F.col("cell")), members, cells, _nearest_in(k), schema), k)
-    )
+    queries = (placed if queries is None else queries).select("id", "v", "cell")
+    first = nearest_in_cell(queries, placed, cells, k)
     kth = F.when(F.size("near") >= k, F.element_at("near", -1)["d"]).otherwise(F.lit(math.inf))
     reach = queries.join(first, "id", "left").select(
         "id", "v", "cell", F.coalesce(kth, F.lit(math.inf)).alias("reach")
@@ -203,3 +209,64 @@ def nearest_neighbours(placed: DataFrame, cells: Cells, k: int) -> DataFrame:
 
     elsewhere = compared(visiting(reach, cells, "reach", own_cell), members, cells, _nearest_in(k), schema)
     return cut_lineage(_best(first.unionByName(elsewhere), k))
+
+
+# --- the approximate graph -------------------------------------------------------------------
+
+
+def _offers(around: pa.Table) -> pa.Table:
+    """Pairs of the vectors around one vertex, one of them new there, that are nearer than the end of
+    the first one's list."""
+    ids, new = around["m"].to_numpy(), around["new"].to_numpy(zero_copy_only=False).astype(bool)
+    weight, end = around["weight"].to_numpy(), around["end"].to_numpy()
+    away = distances(matrix(around["v"]), matrix(around["v"]))
+    wanted = (new[:, None] | new[None, :]) & (ids[:, None] != ids[None, :]) & (away <= end[:, None])
+    i, j = np.nonzero(wanted)
+    return pa.table({"id": pa.array(ids[i]), "n": pa.array(ids[j]), "d": pa.array(away[i, j]), "w": pa.array(weight[j])})
+
+
+def neighbour_graph(
+    placed: DataFrame, cells: Cells, k: int, around: int = 60, least_change: float = 0.002, most_rounds: int = 12
+) -> tuple[DataFrame, int]:
+    """``id, near`` as :func:`nearest_neighbours`, approximately, and the number of rounds: NN-descent.
+
+    Lists begin with the own cell. In a round every vertex brings together the vectors that it lists and
+    that list it, at most ``around`` of them and those first that came last, and each of these offers
+    itself to the others. Rounds end when less than ``least_change`` of all entries are new. Work a
+    round is rows x ``around``, whatever the dimension does to the cells; what belongs to a vertex that
+    very many list is cut to ``around`` and to ``k`` in the map tasks.
+    """
+    first = nearest_in_cell(placed, placed, cells, k)
+    lists = cut_lineage(
+        first.select("id", F.explode("near").alias("x")).select("id", "x.n", "x.d", "x.w", F.lit(True).alias("new"))
+    )
+    total = placed.count()
+    rounds = 0
+    for rounds in range(1, most_rounds + 1):
+        both = lists.select(F.col("id").alias("at"), F.col("n").alias("m"), "new").unionByName(
+            lists.select(F.col("n").alias("at"), F.col("id").alias("m"), "new")
+        )
+        both = both.groupBy("at", "m").agg(F.max("new").alias("new"))
+        order = Window.partitionBy("at").orderBy(F.desc("new"), F.xxhash64(F.lit(rounds), "m"))
+        some = both.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= around).drop("r")
+        ends = lists.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("d")).alias("end"))
+        vectors = placed.select("id", "v", "weight").join(ends, "id", "left").select(
+            F.col("id").alias("m"), "v", "weight", F.coalesce("end", F.lit(math.inf)).alias("end")
+        )
+        offers = some.join(vectors, "m").groupBy("at").applyInArrow(_offers, "id bigint, n bigint, d double, w bigint")
+        every = lists.withColumn("new", F.lit(False)).unionByName(offers.withColumn("new", F.lit(True)))
+        every = every.groupBy("id", "n").agg(F.min("d").alias("d"), F.max("w").alias("w"), F.min("new").alias("new"))
+        nearest = Window.partitionBy("id").orderBy("d", "n")
+        lists = cut_lineage(every.withColumn("r", F.row_number().over(nearest)).filter(F.col("r") <= k).drop("r"))
+        if lists.filter("new").count() < least_change * k * total:
+            break
+    near = F.array_sort(F.collect_list(F.struct("d", "n", "w")))
+    return lists.groupBy("id").agg(near.alias("near")), rounds
+
+
+def recall(found: DataFrame, exact: DataFrame) -> float:
+    """Share of the exact neighbours of ``exact`` that ``found`` lists."""
+    both = exact.select("id", F.col("near").alias("want")).join(found, "id", "left")
+    hits = F.size(F.array_intersect(F.transform("want", lambda x: x["n"]), F.transform("near", lambda x: x["n"])))
+    row = both.agg(F.sum(F.coalesce(hits, F.lit(0))).alias("hits"), F.sum(F.size("want")).alias("all")).first()
+    return row["hits"] / row["all"] if row["all"] else 1.0

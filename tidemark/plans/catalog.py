@@ -27,6 +27,7 @@ from tidemark.operators import filings as J
 from tidemark.operators import gold as G
 from tidemark.operators import intensity as T
 from tidemark.operators import labels as B
+from tidemark.operators import neighbours as M
 from tidemark.operators import sections as H
 from tidemark.operators import tracker as R
 from tidemark.operators.density import density_components
@@ -446,6 +447,38 @@ def text_embeddings(spark, sf):
 DENSITY_REACH, DENSITY_SAMPLES = 0.3, 5
 
 
+NEIGHBOURS = 15
+
+
+def _placed_vectors(spark, sf):
+    rows = A.table(spark, sf, "embeddings").filter("embedding IS NOT NULL")
+    vectors = rows.select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), F.lit(1).cast("long").alias("weight")
+    )
+    return M.dealt_to_cells(vectors, A.embedding_dimension(spark, sf))
+
+
+def _neighbour_rows(lists):
+    rows = lists.select("id", F.posexplode("near").alias("place", "x"))
+    return rows.select(
+        F.col("id").alias("vec_id"), (F.col("place") + 1).alias("place"), F.col("x.n").alias("neighbour"),
+        F.round("x.d", 6).alias("distance"),
+    )
+
+
+@query
+def nearest_vectors(spark, sf):
+    placed, cells = _placed_vectors(spark, sf)
+    asked = placed.filter(F.col("id") % 20 == 0)
+    return _neighbour_rows(M.nearest_neighbours(placed, cells, NEIGHBOURS, asked))
+
+
+@query
+def neighbour_graph(spark, sf):
+    placed, cells = _placed_vectors(spark, sf)
+    return _neighbour_rows(M.neighbour_graph(placed, cells, NEIGHBOURS)[0])
+
+
 @query
 def density_themes(spark, sf):
     points = A.vector_chunks(spark, sf).select("chunk_id", "embedding")

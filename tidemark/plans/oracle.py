@@ -410,6 +410,13 @@ SQL["missing_cluster_centroid"] = _with(
     select="SELECT cluster_id, (dim - 1)::INTEGER AS dim, round(value, 6) AS value FROM centroid "
     "WHERE cluster_id = 3 UNION ALL SELECT 99, range::INTEGER, 0.0 FROM range(64)",
 )
+SQL["nearest_vectors"] = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+d AS (SELECT q.vec_id, n.vec_id AS neighbour, list_distance(q.e, n.e) AS d
+      FROM v q JOIN v n ON q.vec_id <> n.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour) AS place FROM d)
+SELECT vec_id, place::INTEGER AS place, neighbour, round(d, 6) AS distance FROM r WHERE place <= 15
+"""
 SQL["density_clusters"] = """
 WITH RECURSIVE points AS (
   SELECT vec_id::VARCHAR AS chunk_id, embedding[1:12]::DOUBLE[] AS v FROM embeddings
