@@ -344,6 +344,41 @@ def test_cached_download(tmp_path):
     assert path.read_bytes() == b"two" and len(calls) == 2
 
 
+def _theme_rows(spark, n, bad=False):
+    schema = S.GOLD_TABLES["theme_intensity"].schema
+    row = {f.name: None for f in schema}
+    rows = []
+    for i in range(n):
+        values = row | {"cik": "0000000001", "cluster_id": i, "fiscal_year": 2020, "intensity": 7.0 if bad else 0.5}
+        rows.append(tuple({"int": 1, "bigint": 1, "double": 0.5, "string": "x", "boolean": True}[f.dataType.simpleString()]
+                          if values[f.name] is None else values[f.name] for f in schema))
+    return spark.createDataFrame(rows, schema)
+
+
+def test_gold_tables_are_published_whole(spark, tmp_path):
+    """A reader keeps the version it began with; a failed write changes nothing."""
+    base, name = str(tmp_path), "theme_intensity"
+    assert not gold_layer.table_exists(spark, base, name)
+    gold_layer.write_table(_theme_rows(spark, 3), base, name)
+    begun = gold_layer.read_table(spark, base, name)
+    gold_layer.write_table(_theme_rows(spark, 5), base, name)
+    assert begun.count() == 3 and gold_layer.read_table(spark, base, name).count() == 5
+    with pytest.raises(S.SchemaViolation):
+        gold_layer.write_table(_theme_rows(spark, 2, bad=True), base, name)
+    failing = _theme_rows(spark, 4).withColumn("intensity", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        gold_layer.write_table(failing, base, name)
+    assert gold_layer.read_table(spark, base, name).count() == 5
+    assert len([p for p in (tmp_path / name).iterdir() if p.name.startswith("version-")]) == 2
+    for n in range(6, 10):
+        gold_layer.write_table(_theme_rows(spark, n), base, name)
+    versions = [p for p in (tmp_path / name).iterdir() if p.name.startswith("version-")]
+    assert len(versions) == gold_layer.KEPT_VERSIONS and gold_layer.read_table(spark, base, name).count() == 9
+    # A version whose pointer was never written is not seen.
+    (tmp_path / name / "version-lost").mkdir()
+    assert gold_layer.read_table(spark, base, name).count() == 9
+
+
 class Server:
     """Serves ``body`` by ranges; each entry of ``breaks`` ends an answer after so many bytes."""
 
@@ -669,7 +704,7 @@ def test_stages_end_to_end(spark, tmp_path, capsys):
     assert spark.read.parquet(layers.silver("chunks")).select("accession_number", "chunk_id").distinct().count() == chunks.count()
     quality = {r.fiscal_year: r for r in gold["data_quality"].collect()}
     assert quality[2023].failed_extractions == 1 and quality[2022].extraction_success_rate == 1.0
-    sizes = gold_layer.check_sizes(spark, {"themes": gold_layer.table_path(layers.gold, "themes"), "none": base + "/none"})
+    sizes = gold_layer.check_sizes(spark, {"themes": gold_layer.table_path(spark, layers.gold, "themes"), "none": base + "/none"})
     assert sizes["none"] == 0.0 and sizes["themes"] > 0
     from tidemark.plans import sql_console as Q
 

@@ -1,8 +1,14 @@
-"""Gold tables on disk: validated Snappy Parquet, sizes, orchestration."""
+"""Gold tables on disk: validated Snappy Parquet, sizes, orchestration.
+
+A table is a folder of versions, each a Parquet folder that is never changed, and numbered pointers
+that name the version to read. Publishing writes a version, then the next pointer in one step; readers
+take the highest pointer and so always see one whole version.
+"""
 
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,44 +20,77 @@ logger = logging.getLogger(__name__)
 
 MEGABYTE = 1024 * 1024
 SIZE_WARNING_MB = 20.0  # fixed value: tables above this size are reported
+#: Where a table keeps its pointers, and how many versions stay.
+POINTERS = "_pointers"
+KEPT_VERSIONS = 3
+
+
+def table_folder(gold_dir: str, name: str) -> str:
+    return f"{gold_dir.rstrip('/')}/{name}"
+
+
+def _pointers(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """Numbers and versions of the pointers of a table, oldest first: files ``<number>--<version>``."""
+    target, files = hadoop_path(spark, f"{folder}/{POINTERS}")
+    if not files.exists(target):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(target)]
+    return sorted((int(n), v) for n, _, v in (x.partition("--") for x in names) if n.isdigit() and v)
 
 
-def table_path(gold_dir: str, name: str) -> str:
-    return f"{gold_dir.rstrip('/')}/{name}.parquet"
+def table_path(spark: SparkSession, gold_dir: str, name: str) -> str:
+    """The Parquet folder of the current version; a path without files when there is none."""
+    folder = table_folder(gold_dir, name)
+    found = _pointers(spark, folder)
+    return f"{folder}/{found[-1][1] if found else 'none'}"
 
 
 def table_exists(spark: SparkSession, gold_dir: str, name: str) -> bool:
-    return path_exists(spark, table_path(gold_dir, name))
+    return bool(_pointers(spark, table_folder(gold_dir, name)))
 
 
 def read_table(spark: SparkSession, gold_dir: str, name: str) -> DataFrame:
-    """A gold table with its declared schema, so no file is opened to infer one."""
-    return spark.read.schema(S.GOLD_TABLES[name].schema).parquet(table_path(gold_dir, name))
+    """The current version of a gold table with its declared schema, so no file is opened to infer one.
+    A frame keeps the version that it began with."""
+    return spark.read.schema(S.GOLD_TABLES[name].schema).parquet(table_path(spark, gold_dir, name))
 
 
 def write_table(
     df: DataFrame, gold_dir: str, name: str, partition_by: list[str] | None = None
 ) -> str:
-    """Write aside while the declared checks count violations, then publish; returns the path.
+    """Write a version while the declared checks count violations, then publish it; returns its path.
 
-    The plan runs once. With violations nothing is published and the old table stays.
+    The plan runs once. With violations, or when the write fails, nothing is published, the version goes
+    and the table stays as it was. The last ``KEPT_VERSIONS`` versions stay for readers that have begun.
     """
+    spark = df.sparkSession
     frame, check = S.observed(df, S.GOLD_TABLES[name])
-    path = table_path(gold_dir, name)
-    aside, files = hadoop_path(df.sparkSession, f"{path}.unchecked")
-    writer = frame.write.mode("overwrite").option("compression", "snappy")
+    folder = table_folder(gold_dir, name)
+    version = f"version-{uuid.uuid4().hex}"
+    target, files = hadoop_path(spark, f"{folder}/{version}")
+    writer = frame.write.option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(aside.toString())
     try:
+        writer.parquet(target.toString())
         check()
-    except S.SchemaViolation:
-        files.delete(aside, True)
+    except BaseException:
+        files.delete(target, True)
         raise
-    target, _ = hadoop_path(df.sparkSession, path)
-    files.delete(target, True)
-    files.rename(aside, target)
-    return path
+    _publish(spark, folder, version)
+    return target.toString()
+
+
+def _publish(spark: SparkSession, folder: str, version: str) -> None:
+    """Create the next pointer. An empty file is created whole or not at all on every store; of two
+    writers with the same number the one with the larger version name is read."""
+    known = _pointers(spark, folder)
+    number = known[-1][0] + 1 if known else 1
+    pointer, files = hadoop_path(spark, f"{folder}/{POINTERS}/{number:010d}--{version}")
+    files.create(pointer, False).close()
+    for old, gone in _pointers(spark, folder)[:-KEPT_VERSIONS]:
+        for path in (f"{POINTERS}/{old:010d}--{gone}", gone):
+            files.delete(hadoop_path(spark, f"{folder}/{path}")[0], True)
 
 
 def check_sizes(spark: SparkSession, paths: dict[str, str]) -> dict[str, float]:
