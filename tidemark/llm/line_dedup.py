@@ -45,19 +45,20 @@ def shifts(i: int, delta: int, edits: int) -> range:
 
 
 def segment_keys(line: Column, edits: int) -> Column:
-    """Keys of a line as an array of ``(key, own)``: its own segments in the index, and the substrings
-    with which it looks up lines of its own or a smaller length."""
+    """Keys of a line as an array of ``(key, own)``, each key once: its own segments in the index, and the
+    substrings with which it looks up lines of its own or a smaller length."""
     size = F.char_length(line)
-    out = []
+    own, probes = [], []
     for delta in range(edits + 1):
         length = size - delta
         for i in range(edits + 1):
             start, width = segment(length, i, edits)
             for shift in shifts(i, delta, edits):
                 part = F.substr(line, start + 1 + shift, width)
-                own = delta == 0 and shift == 0
-                out.append(F.struct(F.xxhash64(F.lit(i), length, part).alias("key"), F.lit(own).alias("own")))
-    return F.array(*out)
+                (probes if delta or shift else own).append(F.xxhash64(F.lit(i), length, part))
+    indexed = F.transform(F.array_distinct(F.array(*own)), lambda k: F.struct(k.alias("key"), F.lit(True).alias("own")))
+    asked = F.array_except(F.array(*probes), F.array(*own))
+    return F.concat(indexed, F.transform(asked, lambda k: F.struct(k.alias("key"), F.lit(False).alias("own"))))
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -198,25 +199,16 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     lines = _lines(docs, id_col, text_col)
     place = F.struct("doc", "doc_hash", "at")
-    firsts = saved(lines.groupBy("k1", "k2").agg(F.min(place).alias("place")), "first-lines")
-    # Equal lines have equal keys; they combine in the map tasks.
-    keyed = (
-        lines.select("k1", F.explode(segment_keys(F.col("line"), edits)).alias("k"))
-        .groupBy(F.col("k.key").alias("key"), "k1").agg(F.max(F.col("k.own").cast("int")).alias("own"))
-    )
-    keyed = saved(keyed, "segments")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own"))
+    # Equal lines combine in the map tasks, so a line's text is shuffled once a task however common it is.
+    firsts = saved(lines.groupBy("k1", "k2").agg(F.min(place).alias("place"), F.min("line").alias("line")), "first-lines")
+    keyed = firsts.select("k1", "k2", F.explode(segment_keys(F.col("line"), edits)).alias("k")).select("k1", "k2", "k.*")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("own").cast("int")).alias("own"))
     shared = shared.filter((F.col("n") > 1) & (F.col("own") == 1)).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    candidates = saved(keyed.join(shared, "key").select("key", "k1", "blocks"), "candidates")
-    # Merge joins at every size: both tables below grow with the lines and are never small by right.
-    wanted = candidates.select("k1").distinct().hint("merge")
-    texts = (
-        lines.join(wanted, "k1", "left_semi").groupBy("k1", "k2")
-        .agg(F.min(place).alias("place"), F.min("line").alias("line"))
-    )
+    candidates = saved(keyed.join(shared, "key").select("key", "k1", "k2", "blocks"), "candidates")
     # Blocks of bounded size meet in pairs; most keys have a single block.
     block = F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int")
-    dealt = candidates.join(saved(texts, "candidate-lines"), "k1").withColumn("block", block)
+    # A merge join at every size: the texts grow with the lines and are never small by right.
+    dealt = candidates.join(firsts.hint("merge"), ["k1", "k2"]).withColumn("block", block)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     sorted_rows = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "place")
