@@ -49,6 +49,8 @@ def test_bundles_are_plain_zstandard_with_seek_table(spark):
     index, _ = warc.archive(spark.createDataFrame(rows_in(), SCHEMA).coalesce(1))
     frames = index.orderBy("frame").collect()
     assert len({f.bundle for f in frames}) == 1 and len(frames) > 1
+    # The long record has a frame of its own, wherever it stands among the short ones.
+    assert [len(f.records) for f in frames if f.content_bytes > warc.FRAME_BYTES] == [1]
     store, path = warc.open_store(frames[0].bundle)
     with store.open_input_file(path) as source:
         raw = source.read()

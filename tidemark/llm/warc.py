@@ -144,12 +144,16 @@ class Bundle:
         self.entries: list[dict] = []
         self.filled = 0
 
-    def add(self, name: str, record: bytes) -> dict | None:
-        """The index row of a frame, when this record closes one."""
+    def add(self, name: str, record: bytes) -> list[dict]:
+        """The index rows of the frames that this record closes: the open one if the record would pass
+        its size, so that reading a short record never unpacks a long one, and its own if it fills it."""
+        closed = [self.flush()] if self.parts and self.filled + len(record) > FRAME_BYTES else []
         self.entries.append({"record_id": name, "at": self.filled, "length": len(record)})
         self.parts.append(record)
         self.filled += len(record)
-        return self.flush() if self.filled >= FRAME_BYTES else None
+        if self.filled >= FRAME_BYTES:
+            closed.append(self.flush())
+        return closed
 
     def flush(self) -> dict | None:
         if not self.parts:
@@ -224,9 +228,9 @@ def write_bundles(records: DataFrame, folder: str) -> DataFrame:
             for k in range(batch.num_rows):
                 page_id, url, digest, size, refers_to, payload = (batch.column(i)[k].as_py() for i in order)
                 bundle = bundle or Bundle(folder)
-                row = bundle.add(record_id(page_id), to_record(page_id, url, digest, size, refers_to, payload))
-                if row:
-                    yield pa.RecordBatch.from_pylist([row], _INDEX_TYPE)
+                closed = bundle.add(record_id(page_id), to_record(page_id, url, digest, size, refers_to, payload))
+                if closed:
+                    yield pa.RecordBatch.from_pylist(closed, _INDEX_TYPE)
                 if bundle.at >= BUNDLE_BYTES:
                     row, bundle = bundle.close(), None
                     if row:
