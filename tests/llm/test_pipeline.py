@@ -6,7 +6,7 @@ import test_near_dedup
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
-from tidemark.llm import bpe
+from tidemark.llm import bpe, line_dedup
 from tidemark.llm.language import identify
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -22,7 +22,7 @@ def test_stages_against_brute_force(spark, sf):
     first = stage("language_id")(spark, docs, sf)
     rows = [(r.doc_id, r.text) for r in first.collect()]
     assert first.columns == docs.columns and 0.95 * docs.count() < len(rows)
-    want = test_line_dedup.brute(rows, 1)
+    want = test_line_dedup.brute(rows, line_dedup.EDITS)
     second = stage("line_dedup")(spark, first, sf)
     got = second.collect()
     assert second.columns == docs.columns and {r.doc_id: r.text for r in got} == {k: v[0] for k, v in want.items()}
