@@ -230,7 +230,8 @@ def mix(
     share = max(1.0, total / (HOT_SHARE * partitions(documents.sparkSession)))
     # Fewer than HOT_SHARE x partitions rows, so it may be broadcast.
     hot = plan.filter(F.col("n") > share)
+    # The plan grows with the sources and their lengths, so it is never broadcast.
     others = rows.join(F.broadcast(hot.select("key", "size")), ["key", "size"], "left_anti").join(
-        plan.filter(F.col("n") <= share), ["key", "size"]
+        plan.filter(F.col("n") <= share).hint("merge"), ["key", "size"]
     )
     return _taken(others, _drawn(others)).unionByName(_from_hot_classes(rows, hot, share))
