@@ -344,6 +344,25 @@ def test_cached_download(tmp_path):
     assert path.read_bytes() == b"two" and len(calls) == 2
 
 
+def test_encoder_from_a_module(spark, tmp_path):
+    """The store encodes with the named function, and again under another name."""
+    (tmp_path / "toy_encoder.py").write_text(
+        "import numpy as np\n"
+        "def load(folder='1'):\n"
+        "    return lambda texts: np.array([[len(t), float(folder)] for t in texts], dtype='float32')\n"
+    )
+    spark.sparkContext.addPyFile(str(tmp_path / "toy_encoder.py"))
+    chunks = spark.createDataFrame([("a", "f1", "xyz"), ("b", "f1", "xyz"), ("c", "f2", "")], "chunk_id string, accession_number string, text string")
+    for folder, want in ((None, [3.0, 1.0]), ("4", [3.0, 4.0])):
+        encode = E.local_encoder("toy_encoder:load", folder)
+        store = E.EmbeddingStore(spark, str(tmp_path / "store"), f"toy {folder}")
+        got = {r.chunk_id: r.embedding for r in store.get_or_compute(chunks, encode).collect()}
+        assert got["a"] == got["b"] == pytest.approx([v / np.hypot(*want) for v in want])
+    assert store.load().count() == 4
+    with pytest.raises(ValueError):
+        E.local_encoder("no_function")
+
+
 def _theme_rows(spark, n, bad=False):
     schema = S.GOLD_TABLES["theme_intensity"].schema
     row = {f.name: None for f in schema}
@@ -707,7 +726,15 @@ def test_stages_end_to_end(spark, tmp_path, capsys):
     sizes = gold_layer.check_sizes(spark, {"themes": gold_layer.table_path(spark, layers.gold, "themes"), "none": base + "/none"})
     assert sizes["none"] == 0.0 and sizes["themes"] > 0
     from tidemark.plans import sql_console as Q
-
+    from tidemark.plans import stages
+
+    moved = stages.feed(spark, layers, "wasserstein").collect()
+    assert len(moved) == gold["theme_changes"].count()
+    figures = [r.wasserstein_drift for r in moved]
+    known = [f for f in figures if f is not None]
+    assert known and known == sorted(known, reverse=True) and figures[: len(known)] == known
+    outliers = spark.read.parquet(layers.silver("outliers"))
+    assert outliers.join(clusters.where("cluster_id = -1"), "chunk_id", "left_anti").count() == 0
     assert sorted(Q.register_gold(spark, layers.gold)) == sorted(S.GOLD_TABLES)
     assert Q.run_preset(spark, "top-drift").count() > 0
     assert Q.run_sql(spark, "SELECT * FROM themes WHERE cluster_id = 77").count() == 0

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import SCALES, Layers
 from tidemark.operators.clustering import ThemeClusterer
+from tidemark.operators.embedding import HASHING_MODEL, local_encoder
 from tidemark.operators.explanations import MAX_EXPLANATIONS, SYSTEM_PROMPT
 from tidemark.plans import stages
 from tidemark.schemas import GOLD_TABLES
@@ -101,8 +102,10 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> int:
             spark,
             layers,
             ThemeClusterer.for_scale(args.scale, k=args.themes, noise_ratio=args.noise_ratio),
+            encode=local_encoder(args.encoder, args.encoder_folder) if args.encoder else None,
             overrides=read_overrides(spark, layers.overrides),
             generate=label_with,
+            model=f"{args.encoder} {args.encoder_folder or ''}".strip() if args.encoder else HASHING_MODEL,
         ),
         "drift": lambda: stages.drift(spark, layers),
         "explain": lambda: stages.explain(
@@ -159,6 +162,8 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--user-agent", help="identifies the caller to the archive")
     run.add_argument("--themes", type=int, help="number of themes; found from the data if left out")
     run.add_argument("--noise-ratio", type=float, default=ThemeClusterer.noise_ratio)
+    run.add_argument("--encoder", help="module:function that loads the text encoder; term hashing if left out")
+    run.add_argument("--encoder-folder", help="folder that the encoder's function gets, such as its weights")
     run.add_argument("--max-explanations", type=int, default=MAX_EXPLANATIONS)
     run.add_argument("--no-text-service", action="store_true")
     for stage in STAGES:

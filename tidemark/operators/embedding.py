@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -63,6 +64,22 @@ def model_embeddings(
     return slim.mapInPandas(encode, f"{id_col} {kind}, embedding array<float>")
 
 
+def local_encoder(name: str, folder: str | None = None) -> Callable[[DataFrame], DataFrame]:
+    """An encoder for :class:`EmbeddingStore` from ``module:function``, for instance of a file that lies in a
+    shared folder. Each Python worker imports the module once and calls the function, with ``folder``
+    (such as where the weights lie) if one is given; it returns a function from texts to a 2-D array.
+    """
+    module, _, function = name.partition(":")
+    if not module or not function:
+        raise ValueError(f"an encoder is given as module:function, not {name!r}")
+
+    def load() -> Callable[[list[str]], np.ndarray]:
+        make = getattr(importlib.import_module(module), function)
+        return make(folder) if folder is not None else make()
+
+    return lambda texts: model_embeddings(texts, load)
+
+
 def content_key(text: F.Column, model: str) -> F.Column:
     """Store key of a text under a model, so changed texts or models are encoded again."""
     return F.sha2(F.concat_ws("\n", F.lit(model), text), 256)

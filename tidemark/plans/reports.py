@@ -26,8 +26,14 @@ REVIEW_LIST = 4
 _KEY = ["cik", "cluster_id", "fiscal_year"]
 
 
-def change_feed(changes: DataFrame, themes: DataFrame, companies: DataFrame) -> DataFrame:
-    """Changes with theme label and company metadata (left joins on unique keys)."""
+def change_feed(
+    changes: DataFrame, themes: DataFrame, companies: DataFrame, distribution: DataFrame | None = None
+) -> DataFrame:
+    """Changes with theme label and company metadata (left joins on unique keys), and with the figures
+    of the distribution drift if it is given; they are null where a pair has none."""
+    if distribution is not None:
+        figures = distribution.select(*_KEY, "wasserstein_drift", "p_value", "boilerplate_index")
+        changes = changes.join(figures, _KEY, "left")
     named = lookup_join(changes, themes.select("cluster_id", "label"), ["cluster_id"], _KEY, "left")
     return named.join(companies.select("cik", "ticker", "name", "sector"), "cik", "left")
 

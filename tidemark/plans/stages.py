@@ -17,9 +17,10 @@ from tidemark.operators import gold as G
 from tidemark.operators import intensity as T
 from tidemark.operators import labels as B
 from tidemark.operators.chunking import assert_unique_chunks, chunk_sections
-from tidemark.operators.embedding import EmbeddingStore
+from tidemark.operators.embedding import HASHING_MODEL, EmbeddingStore
 from tidemark.operators.explanations import MAX_EXPLANATIONS, build_explanations
 from tidemark.operators.sections import extract_sections
+from tidemark.plans import reports as O
 from tidemark.sources import bronze as Z
 from tidemark.sources import gold_layer
 from tidemark.sources.http import HttpClient
@@ -74,15 +75,16 @@ def understand(
     encode: Generate | None = None,
     overrides: DataFrame | None = None,
     generate: Generate | None = None,
+    model: str = HASHING_MODEL,
 ) -> dict[str, int]:
-    """Chunks, vectors, clusters and labels; ``clusterer`` holds the number of themes and the rule for
-    noise."""
+    """Chunks, vectors, clusters, labels and outliers; ``clusterer`` holds the number of themes and the
+    rule for noise. ``model`` names the encoder: vectors of another one are never taken for its own."""
     good = _load(spark, layers, "sections").where("success")
     chunks = _store(
         chunk_sections(good.withColumn("section", F.lit(SECTION))), layers.silver("chunks")
     )
     assert_unique_chunks(chunks)
-    vectors = EmbeddingStore(spark, layers.silver("embeddings")).get_or_compute(chunks, encode)
+    vectors = EmbeddingStore(spark, layers.silver("embeddings"), model).get_or_compute(chunks, encode)
     placed = (clusterer or L.ThemeClusterer()).fit_predict(vectors)
     clustered = _store(placed, layers.silver("clusters"))
     centroids = _store(L.cluster_centroids(clustered), layers.silver("centroids"))
@@ -93,7 +95,10 @@ def understand(
         centroids.select("cluster_id"), nearest, chunks, overrides, generate
     )
     gold_layer.save_labels(labels, layers.silver("labels"))
-    return {"chunks": chunks.count(), "themes": centroids.count()}
+    texts = chunks.select(*I.CHUNK_IDENTITY, "text")
+    outliers = L.novel_outliers(clustered.join(texts, list(I.CHUNK_IDENTITY)), centroids)
+    found = _store(outliers, layers.silver("outliers")).count()
+    return {"chunks": chunks.count(), "themes": centroids.count(), "outliers": found}
 
 
 def _clustered_chunks(spark: SparkSession, layers: Layers) -> DataFrame:
@@ -159,3 +164,12 @@ def publish(
         overrides=read_overrides(spark, layers.overrides),
     )
     return gold_layer.check_sizes(spark, paths)
+
+
+def feed(spark: SparkSession, layers: Layers, by: str = "materiality") -> DataFrame:
+    """The change feed of the published tables, with the distribution drift of the run."""
+    gold = {n: gold_layer.read_table(spark, layers.gold, n) for n in ("theme_changes", "themes", "companies")}
+    changes = O.change_feed(
+        gold["theme_changes"], gold["themes"], gold["companies"], _load(spark, layers, "distribution_drift")
+    )
+    return O.sort_feed(changes, by)
