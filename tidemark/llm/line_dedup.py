@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import column, saved, whole_rows, whole_text
@@ -199,16 +199,26 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     lines = _lines(docs, id_col, text_col)
     place = F.struct("doc", "doc_hash", "at")
-    # Equal lines combine in the map tasks, so a line's text is shuffled once a task however common it is.
-    firsts = saved(lines.groupBy("k1", "k2").agg(F.min(place).alias("place"), F.min("line").alias("line")), "first-lines")
-    keyed = firsts.select("k1", "k2", F.explode(segment_keys(F.col("line"), edits)).alias("k")).select("k1", "k2", "k.*")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("own").cast("int")).alias("own"))
-    shared = shared.filter((F.col("n") > 1) & (F.col("own") == 1)).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    candidates = saved(keyed.join(shared, "key").select("key", "k1", "k2", "blocks"), "candidates")
+    firsts = saved(lines.groupBy("k1", "k2").agg(F.min(place).alias("place")), "first-lines")
+    # Equal lines have equal keys; they combine in the map tasks.
+    keyed = (
+        lines.select("k1", F.explode(segment_keys(F.col("line"), edits)).alias("k"))
+        .groupBy(F.col("k.key").alias("key"), "k1").agg(F.max(F.col("k.own").cast("int")).alias("own"))
+    )
+    # Counted and kept in one shuffle by key; the lines of a frequent key pass through as sorted rows.
+    same = Window.partitionBy("key")
+    counted = keyed.withColumns({"n": F.count(F.lit(1)).over(same), "indexed": F.max("own").over(same)})
+    shared = counted.filter((F.col("n") > 1) & (F.col("indexed") == 1))
+    candidates = saved(shared.select("key", "k1", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "candidates")
+    # Merge joins at every size: both tables below grow with the lines and are never small by right.
+    wanted = candidates.select("k1").distinct().hint("merge")
+    texts = (
+        lines.join(wanted, "k1", "left_semi").groupBy("k1", "k2")
+        .agg(F.min(place).alias("place"), F.min("line").alias("line"))
+    )
     # Blocks of bounded size meet in pairs; most keys have a single block.
     block = F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int")
-    # A merge join at every size: the texts grow with the lines and are never small by right.
-    dealt = candidates.join(firsts.hint("merge"), ["k1", "k2"]).withColumn("block", block)
+    dealt = candidates.join(saved(texts, "candidate-lines"), "k1").withColumn("block", block)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     sorted_rows = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "place")
