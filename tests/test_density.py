@@ -190,7 +190,7 @@ def test_neighbour_graph_recall(spark):
     """Over all given vectors, against the exact lists; and lists are lists: in order, without repeats."""
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     placed, cells = N.dealt_to_cells(D.vertices(table, "embedding"), 64)
-    graph, rounds = N.neighbour_graph(placed, cells, 15)
+    graph, rounds = N.neighbour_graph(placed, 15)
     exact = N.nearest_neighbours(placed, cells, 15)
     assert N.recall(graph, exact) >= 0.9 and 1 < rounds <= 12
     for r in graph.collect():

@@ -26,6 +26,9 @@ BLOCK_ROWS = 2048
 #: Cell bounds are loosened by this share, so that rounding never leaves out a cell.
 SLACK = 1e-9
 
+#: Random groupings that the approximate graph begins with.
+GROUPINGS = 3
+
 NEAR = "array<struct<d:double,n:bigint,w:bigint>>"
 
 
@@ -226,21 +229,32 @@ def _offers(around: pa.Table) -> pa.Table:
 
 
 def neighbour_graph(
-    placed: DataFrame, cells: Cells, k: int, around: int = 60, least_change: float = 0.002, most_rounds: int = 12
+    placed: DataFrame, k: int, around: int = 60, least_change: float = 0.002, most_rounds: int = 12
 ) -> tuple[DataFrame, int]:
     """``id, near`` as :func:`nearest_neighbours`, approximately, and the number of rounds: NN-descent.
 
-    Lists begin with the own cell. In a round every vertex brings together the vectors that it lists and
+    Lists begin with vectors of the same random groups, in several groupings: with one, random or by
+    cells, no list would ever lead out of its group. In a round every vertex brings together the vectors that it lists and
     that list it, at most ``around`` of them and those first that came last, and each of these offers
     itself to the others. Rounds end when less than ``least_change`` of all entries are new. Work a
     round is rows x ``around``, whatever the dimension does to the cells; what belongs to a vertex that
     very many list is cut to ``around`` and to ``k`` in the map tasks.
     """
-    first = nearest_in_cell(placed, placed, cells, k)
-    lists = cut_lineage(
-        first.select("id", F.explode("near").alias("x")).select("id", "x.n", "x.d", "x.w", F.lit(True).alias("new"))
-    )
     total = placed.count()
+    groups = max(1, total // around)
+    random = placed.select(
+        F.col("id").alias("m"), "v", "weight", F.lit(True).alias("new"), F.lit(math.inf).alias("end"),
+        F.explode(F.array(*[F.lit(g) for g in range(GROUPINGS)])).alias("grouping"),
+    )
+    random = random.withColumn("at", F.pmod(F.xxhash64("grouping", "m"), F.lit(groups)))
+    pairs = "id bigint, n bigint, d double, w bigint"
+    nearest = Window.partitionBy("id").orderBy("d", "n")
+
+    def ends_of_lists(every: DataFrame) -> DataFrame:
+        return every.withColumn("r", F.row_number().over(nearest)).filter(F.col("r") <= k).drop("r")
+
+    first = random.groupBy("grouping", "at").applyInArrow(_offers, pairs).distinct().withColumn("new", F.lit(True))
+    lists = cut_lineage(ends_of_lists(first))
     rounds = 0
     for rounds in range(1, most_rounds + 1):
         both = lists.select(F.col("id").alias("at"), F.col("n").alias("m"), "new").unionByName(
@@ -253,11 +267,10 @@ def neighbour_graph(
         vectors = placed.select("id", "v", "weight").join(ends, "id", "left").select(
             F.col("id").alias("m"), "v", "weight", F.coalesce("end", F.lit(math.inf)).alias("end")
         )
-        offers = some.join(vectors, "m").groupBy("at").applyInArrow(_offers, "id bigint, n bigint, d double, w bigint")
+        offers = some.join(vectors, "m").groupBy("at").applyInArrow(_offers, pairs)
         every = lists.withColumn("new", F.lit(False)).unionByName(offers.withColumn("new", F.lit(True)))
         every = every.groupBy("id", "n").agg(F.min("d").alias("d"), F.max("w").alias("w"), F.min("new").alias("new"))
-        nearest = Window.partitionBy("id").orderBy("d", "n")
-        lists = cut_lineage(every.withColumn("r", F.row_number().over(nearest)).filter(F.col("r") <= k).drop("r"))
+        lists = cut_lineage(ends_of_lists(every))
         if lists.filter("new").count() < least_change * k * total:
             break
     near = F.array_sort(F.collect_list(F.struct("d", "n", "w")))

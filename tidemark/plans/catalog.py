@@ -475,8 +475,8 @@ def nearest_vectors(spark, sf):
 
 @query
 def neighbour_graph(spark, sf):
-    placed, cells = _placed_vectors(spark, sf)
-    return _neighbour_rows(M.neighbour_graph(placed, cells, NEIGHBOURS)[0])
+    placed, _ = _placed_vectors(spark, sf)
+    return _neighbour_rows(M.neighbour_graph(placed, NEIGHBOURS)[0])
 
 
 @query
