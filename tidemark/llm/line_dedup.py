@@ -21,6 +21,8 @@ from tidemark.llm.common import column, saved, whole_rows, whole_text
 EDITS = 2
 #: Shorter lines are never removed: headings, brackets and list marks repeat for good reason.
 LEAST_LINE = 20
+#: Line keys that a task remembers, so that a common line is passed on once.
+REMEMBERED = 500_000
 #: Lines on either side of one block of comparisons.
 BLOCK = 512
 
@@ -45,20 +47,19 @@ def shifts(i: int, delta: int, edits: int) -> range:
 
 
 def segment_keys(line: Column, edits: int) -> Column:
-    """Keys of a line as an array of ``(key, own)``, each key once: its own segments in the index, and the
-    substrings with which it looks up lines of its own or a smaller length."""
+    """Keys of a line as an array of ``(key, own)``: its own segments in the index, and the substrings
+    with which it looks up lines of its own or a smaller length."""
     size = F.char_length(line)
-    own, probes = [], []
+    out = []
     for delta in range(edits + 1):
         length = size - delta
         for i in range(edits + 1):
             start, width = segment(length, i, edits)
             for shift in shifts(i, delta, edits):
                 part = F.substr(line, start + 1 + shift, width)
-                (probes if delta or shift else own).append(F.xxhash64(F.lit(i), length, part))
-    indexed = F.transform(F.array_distinct(F.array(*own)), lambda k: F.struct(k.alias("key"), F.lit(True).alias("own")))
-    asked = F.array_except(F.array(*probes), F.array(*own))
-    return F.concat(indexed, F.transform(asked, lambda k: F.struct(k.alias("key"), F.lit(False).alias("own"))))
+                own = delta == 0 and shift == 0
+                out.append(F.struct(F.xxhash64(F.lit(i), length, part).alias("key"), F.lit(own).alias("own")))
+    return F.array(*out)
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -157,6 +158,20 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(1), "line")})
 
 
+def _once_a_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``k1, k2, line`` without lines that the task has passed on lately; equal keys of what it
+    forgets meet again in the shuffle."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        fresh = []
+        for k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            fresh.append(k not in seen)
+            seen.add(k)
+        if len(seen) > REMEMBERED:
+            seen.clear()
+        yield batch.filter(pa.array(fresh, pa.bool_()))
+
+
 def _later_lines(rows: DataFrame, edits: int) -> DataFrame:
     """``k1, k2`` of lines that repeat an earlier line, from rows sorted by block and place."""
     schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64())])
@@ -200,12 +215,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lines = _lines(docs, id_col, text_col)
     place = F.struct("doc", "doc_hash", "at")
     firsts = saved(lines.groupBy("k1", "k2").agg(F.min(place).alias("place")), "first-lines")
-    # Equal lines have equal keys; they combine in the map tasks.
-    keyed = (
-        lines.select("k1", F.explode(segment_keys(F.col("line"), edits)).alias("k"))
-        .groupBy(F.col("k.key").alias("key"), "k1").agg(F.max(F.col("k.own").cast("int")).alias("own"))
-    )
-    # Counted and kept in one shuffle by key; the lines of a frequent key pass through as sorted rows.
+    # Equal lines have equal keys; a task passes each line on once. One shuffle by key serves to combine
+    # what tasks have in common, to count and to keep; a frequent key's lines pass through as sorted rows.
+    once = lines.select("k1", "k2", "line").mapInArrow(_once_a_task, "k1 bigint, k2 bigint, line string")
+    keyed = once.select("k1", F.explode(segment_keys(F.col("line"), edits)).alias("k")).select("k1", "k.*").repartition("key")
+    keyed = keyed.groupBy("key", "k1").agg(F.max(F.col("own").cast("int")).alias("own"))
     same = Window.partitionBy("key")
     counted = keyed.withColumns({"n": F.count(F.lit(1)).over(same), "indexed": F.max("own").over(same)})
     shared = counted.filter((F.col("n") > 1) & (F.col("indexed") == 1))
