@@ -149,13 +149,10 @@ def _plain_clusters(reach, weights, core, least):
     return []
 
 
-@pytest.mark.parametrize("case", ["groups", "nested", "copies", "noise", "all on Spark"])
-def test_clusters_equal_the_plain_hierarchy(spark, case, monkeypatch):
+@pytest.mark.parametrize("case", ["groups", "nested", "copies", "noise"])
+def test_clusters_equal_the_plain_hierarchy(spark, case):
     rng = np.random.default_rng(5)
-    if case == "all on Spark":
-        monkeypatch.setattr(D, "LOCAL_ROWS", 0)
     matrix = {
-        "all on Spark": np.vstack([_groups(rng, [12, 9, 8]), rng.normal(size=(3, 4)) * 8]),
         "groups": np.vstack([_groups(rng, [60, 40, 30]), rng.normal(size=(40, 4)) * 8]),
         "nested": np.vstack([_groups(rng, [50, 50], 2, 0.2) * 0.15, _groups(rng, [60], 2, 0.3) + 9, rng.normal(size=(20, 2)) * 4]),
         "copies": np.vstack([np.round(_groups(rng, [60, 50, 40], 2, 0.8), 1), np.tile([3.0, 3.0], (25, 1))]),
@@ -165,10 +162,9 @@ def test_clusters_equal_the_plain_hierarchy(spark, case, monkeypatch):
     vectors = [tuple(r["v"]) for r in rows]
     weights = [r["weight"] for r in rows]
     reach, core = _reachability(np.array(vectors), weights, 5)
-    least = 6 if case == "all on Spark" else 15
-    want = sorted(sorted(s) for s in _plain_clusters(reach, weights, core, least))
+    want = sorted(sorted(s) for s in _plain_clusters(reach, weights, core, 15))
     found = {}
-    out = D.density_clusters(_points(spark, [*matrix, None]), "v", least, 5).collect()
+    out = D.density_clusters(_points(spark, [*matrix, None]), "v", 15, 5).collect()
     assert len(out) == len(matrix) + 1
     for r in out:
         if r["v"] is None:
