@@ -117,3 +117,37 @@ def test_simhash(spark, n):
     want = sum(1 << b for b in range(64) if sum((x >> b & 1) * 2 - 1 for x in h) > 0)
     got = spark.createDataFrame([(h,)], "h array<long>").select(D.simhash("h").alias("p")).first().p
     assert got & (2**64 - 1) == want
+
+
+def test_windows_of_every_start(spark):
+    """Edits at both ends and an insertion between: no shared shingle keeps its place in the best window."""
+    item = [f"i{k}" for k in range(80)]
+    cut = ["x0", "x1", *item[2:40], "new", *item[40:78], "y0", "y1"]
+    rnd = random.Random(8)
+    docs, items = [(1, " ".join(cut)), (2, " ".join(item[:60]))], [(7, " ".join(item))]
+    for i in range(3, 60):
+        part = list(item)
+        for _ in range(rnd.randrange(1, 4)):
+            at = rnd.randrange(len(part))
+            part[at : at + rnd.randrange(2)] = ["z"] * rnd.randrange(3)
+        docs.append((i, " ".join(["a"] * rnd.randrange(4) + part + ["b"] * rnd.randrange(4))))
+    best = {}
+    for doc_id, text in docs:
+        w, own = split(text), Counter(grams(item))
+        for s in range(max(0, len(w) - len(item)) + 1):
+            a = Counter(grams(w[s : s + len(item)]))
+            similarity = sum((a & own).values()) / sum((a | own).values())
+            if similarity >= 0.75:
+                best[doc_id] = max(best.get(doc_id, 0), similarity)
+    assert {d: similarity for d, _, _, similarity in run(spark, docs, items)} == best and len(best) > 20
+
+
+def test_copy_that_no_placed_window_holds(spark):
+    """Every window in which a shared shingle has its place is below the threshold, one between is above."""
+    item = [f"i{k}" for k in range(50)]
+    text = ["p", "q", *item[1:25], "new", "new2", *item[25:49], "r", "s"]
+    docs, items = [(1, " ".join(text))], [(7, " ".join(item))]
+    assert brute(docs, items) == []
+    ((doc_id, item_id, start, similarity),) = run(spark, docs, items)
+    a, b = Counter(grams(text[start : start + 50])), Counter(grams(item))
+    assert (doc_id, item_id) == (1, 7) and similarity == sum((a & b).values()) / sum((a | b).values()) >= 0.75

@@ -5,9 +5,10 @@ index over blocks of the items' fingerprints finds every window within the Hammi
 radius spread over the blocks leaves some block within a few bits, and all keys that near are in the
 index. Windows found are verified by the exact similarity of the weighted shingles.
 
-Only windows that share a shingle with an item, laid so that this shingle has the same place in both,
-are fingerprinted. A window between those of two such shingles may be more similar, so a copy with
-edits at both ends and an insertion between can be missed.
+No start of a window needs to be tried but those at which a shared shingle comes in as the last one:
+all windows of an item have as many shingles, so a window can only be better than the one a word
+earlier by the shingle that comes in. The first of the best windows of all starts is thus tried. So are
+those at which a shared shingle has the same place in both; they go first where they are as good.
 """
 
 from __future__ import annotations
@@ -78,15 +79,22 @@ def _block(fingerprint: str) -> Column:
 
 
 def _windows(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """Item-sized windows that share a shingle of ``size`` words with an item, at the same place."""
+    """Item-sized windows that a shingle of ``size`` words shared with an item ends, or (``placed``)
+    in which it has the item's place."""
     grams = items.filter(F.least("n", F.lit(SHINGLE_WORDS)) == size)
     grams = grams.select("item_id", "item", "n", F.posexplode("g").alias("offset", "gram"))
     positions = docs.filter(F.size("w") >= size).select("doc_id", "doc", "w", F.posexplode("w").alias("pos", "_word"))
     positions = positions.filter(F.col("pos") <= F.size("w") - size)
     gram = F.xxhash64(F.lit(size), *[F.get("w", F.col("pos") + i) for i in range(size)])
     hits = positions.withColumn("gram", gram).join(F.broadcast(grams), "gram")
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.size("w") - F.col("n")))
-    return hits.select("doc_id", "doc", "item_id", "item", start.alias("start"), F.slice("w", start + 1, F.col("n")).alias("window"))
+    placed = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.size("w") - F.col("n")))
+    ended = F.greatest(F.lit(0), F.col("pos") + size - F.col("n"))
+    both = F.array(
+        F.struct(placed.alias("start"), F.lit(True).alias("placed")),
+        F.struct(ended.alias("start"), F.lit(False).alias("placed")),
+    )
+    laid = hits.select("doc_id", "doc", "item_id", "item", "w", "n", F.inline(both))
+    return laid.select("doc_id", "doc", "item_id", "item", "start", "placed", F.slice("w", F.col("start") + 1, F.col("n")).alias("window"))
 
 
 def contaminated(
@@ -98,11 +106,12 @@ def contaminated(
     item_text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, item_id, start, similarity``: one row per document and item it holds, with the first
-    word and the similarity of the best window (the first of equally good ones).
+    word and the similarity of the best window of all starts. Of equally good ones, those come first in
+    which a shared shingle has the same place as in the item (pushed inside at the ends), then the
+    first in the document.
 
     Shingles have five words and weigh as often as they occur; an item of fewer words is one shingle
-    of its own length. A window is as long as the item and laid over the document so that a shared
-    shingle has the same place in both, pushed inside at the ends. Null and empty texts hold nothing
+    of its own length. A window is as long as the item. Null and empty texts hold nothing
     and are held by nothing; null ids are ids like any other; rows that repeat id and text count
     once. Other columns are not read. Only windows are shuffled, never whole texts.
     """
@@ -117,9 +126,9 @@ def contaminated(
         for size in sorted(totals["sizes"]) or [SHINGLE_WORDS]:
             windows = _windows(rows, part, size)
             found = windows if found is None else found.unionByName(windows)
-    distinct = found.groupBy("doc_id", "doc", "item_id", "item", "start").agg(F.first("window").alias("window"))
+    distinct = found.groupBy("doc_id", "doc", "item_id", "item", "start").agg(F.first("window").alias("window"), F.max("placed").alias("placed"))
     # The shingle length is that of the item: shorter than five words only with the item.
-    printed = distinct.select("doc_id", "doc", "item_id", "item", "start", _shingles("window", SHINGLE_WORDS).alias("h"))
+    printed = distinct.select("doc_id", "doc", "item_id", "item", "start", "placed", _shingles("window", SHINGLE_WORDS).alias("h"))
     printed = saved(printed.withColumn("window_print", simhash("h")), "window-fingerprints")
     probes = printed.select(
         "doc_id", "doc", "item_id", "item", "start", "window_print",
@@ -141,7 +150,7 @@ def contaminated(
     scored = near.withColumn("shared", shared).withColumn("all", F.size("g") + F.size("h") - F.col("shared"))
     held = scored.filter(F.col("shared") * 100 >= F.col("all") * PERCENT)
     best = held.groupBy("doc_id", "item_id").agg(
-        F.max(F.struct((F.col("shared") / F.col("all")).alias("similarity"), (-F.col("start")).alias("back"))).alias("best")
+        F.max(F.struct((F.col("shared") / F.col("all")).alias("similarity"), "placed", (-F.col("start")).alias("back"))).alias("best")
     )
     return best.select("doc_id", "item_id", (-F.col("best.back")).alias("start"), F.col("best.similarity").alias("similarity"))
 
