@@ -11,6 +11,7 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from tidemark.operators import filings as J
 from tidemark.operators import gold as G
 from tidemark.operators import labels as B
 from tidemark.operators import sections as H
+from tidemark.session import ship_package
 from tidemark.sources import archive, bronze, gold_layer, http, lists, text_service
 from tidemark.streaming.refresh import refresh
 
@@ -162,6 +164,17 @@ def test_keyword_labels_and_choice(spark):
     assert {r.cluster_id: r.label for r in named.collect()}[0] == "Data Theft"
 
 
+def test_texts_reach_python_in_bounded_batches(spark):
+    ship_package(spark)
+
+    @F.pandas_udf("long")
+    def batch_size(text: pd.Series) -> pd.Series:
+        return pd.Series([int(text.str.len().sum())] * len(text))
+
+    texts = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("a"), 20_000).alias("text"))
+    assert texts.select(batch_size("text").alias("n")).agg(F.max("n")).first()[0] <= 16 << 20
+
+
 # Sections -----------------------------------------------------------------------------------
 
 LONG = "Our business depends on many things that may go wrong at any time. " * 3

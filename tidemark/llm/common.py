@@ -17,14 +17,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HOT_SHARE = 8
 
 
-#: Bytes of an Arrow batch between Spark and Python; a task holds a few batches.
-BATCH_BYTES = 8 << 20
-
-
 def prepare(spark: SparkSession) -> None:
     """What the operators need of a session: this package in Python workers, and small batches."""
     session.ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def column(name: str) -> Column:
