@@ -18,6 +18,7 @@ from tidemark.operators import clustering as L
 from tidemark.operators import drift as D
 from tidemark.operators import intensity as T
 from tidemark.operators.tracker import ThemeTracker
+from tidemark.plans import drift_plan as P
 
 CHUNKS = "chunk_id string, cik string, fiscal_year int, accession_number string, cluster_id int"
 LABELS = [(0, "Alpha"), (1, "Beta"), (2, "Gamma")]
@@ -417,3 +418,13 @@ def test_tracker_summaries(tracker):
 def test_tracker_needs_its_columns(tracker, intensity):
     with pytest.raises(ValueError, match="cluster_label"):
         ThemeTracker(intensity, tracker.changes, tracker.themes.drop("cluster_label"))
+
+
+def test_ranking_is_made_only_when_asked_for(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(P.C, "top_changes", lambda changes, drift, top: made.append(top) or changes)
+    rows = [(str(i), "a", 2020 + i % 2, "x", i % 3) for i in range(12)]
+    chunks = spark.createDataFrame(rows, "chunk_id string, cik string, fiscal_year int, accession_number string, cluster_id int")
+    found = P.drift_plan(chunks, top=7)
+    assert found.changes.count() == 6 and made == []
+    assert found.ranked is found.ranked and made == [7]

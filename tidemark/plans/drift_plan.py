@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +18,16 @@ from tidemark.session import cut_lineage
 
 @dataclass(frozen=True)
 class DriftResult:
-    """Lazy frames of one run; nothing is computed before one of them is used."""
+    """Lazy frames of one run. The ranking is checkpointed, so it is only made when it is asked for."""
 
     intensity: DataFrame
     changes: DataFrame
     centroid_drift: DataFrame | None
-    ranked: DataFrame
+    top: int = C.DEFAULT_TOP
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        return C.top_changes(self.changes, self.centroid_drift, self.top)
 
 
 def drift_plan(
@@ -45,7 +50,7 @@ def drift_plan(
         counts = count_chunks(chunks)
     intensity = intensity_of_counts(counts, labels)
     changes = C.compute_yoy_changes(intensity)
-    return DriftResult(intensity, changes, drift, C.top_changes(changes, drift, top))
+    return DriftResult(intensity, changes, drift, top)
 
 
 def explained_changes(
