@@ -175,6 +175,28 @@ def test_texts_reach_python_in_bounded_batches(spark):
     assert texts.select(batch_size("text").alias("n")).agg(F.max("n")).first()[0] <= 16 << 20
 
 
+def test_keyword_labels_count_pairs_of_leading_words_only(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(9)]
+    rows = [(int(rng.integers(4)), " ".join(rng.choice(words, size=int(rng.integers(12)), p=np.arange(9, 0, -1) / 45))) for _ in range(60)]
+    rows += [(7, None), (8, ""), (9, "solo"), (10, "go go go go"), (None, "aa bb aa bb")]
+    chunks = spark.createDataFrame(rows, "cluster_id int, text string")
+    counts = {}
+    for c, text in rows:
+        tokens = (text or "").split()
+        for term in tokens + [f"{a} {b}" for a, b in zip(tokens, tokens[1:])]:
+            counts.setdefault(c, {})[term] = counts.setdefault(c, {}).get(term, 0) + 1
+    want = {}
+    for c, n in counts.items():
+        best = sorted(n, key=lambda t: (n[t], t), reverse=True)[:3]
+        want[c] = " / ".join(t.title() for t in best)
+    monkeypatch.setattr(B, "LEADING_WORDS", 0)
+    assert {r.cluster_id: r.label for r in B.keyword_labels(chunks, stop_words=()).collect()} == want
+    monkeypatch.setattr(B, "LEADING_WORDS", 1000)
+    monkeypatch.setattr(B, "term_counts", None)
+    assert {r.cluster_id: r.label for r in B.keyword_labels(chunks, stop_words=()).collect()} == want
+
+
 # Sections -----------------------------------------------------------------------------------
 
 LONG = "Our business depends on many things that may go wrong at any time. " * 3

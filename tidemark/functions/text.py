@@ -189,6 +189,13 @@ def terms(token_array: Column) -> Column:
     return F.concat(token_array, pairs)
 
 
+def neighbours(token_array: Column) -> Column:
+    """Pairs ``a, b`` of neighbouring tokens."""
+    count = F.greatest(F.size(token_array) - 1, F.lit(0))
+    first, second = F.slice(token_array, F.lit(1), count), F.slice(token_array, F.lit(2), count)
+    return F.zip_with(first, second, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
 def title_case(text: Column) -> Column:
     """Upper-case the first letter of every run of letters (``initcap`` only looks at blanks)."""
     runs = F.regexp_extract_all(text, F.lit(rf"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))

@@ -14,11 +14,14 @@ from tidemark.functions.skew import lookup_join
 from tidemark.functions.stopwords import english_stop_words
 from tidemark.operators.intensity import NOISE_CLUSTER, unique_labels
 from tidemark.schemas import assert_columns
+from tidemark.session import cut_lineage
 
 # Terms per label, excerpts per prompt, characters per excerpt.
 TERMS_PER_LABEL = 3
 REPRESENTATIVES = 5
 EXCERPT_CHARS = 500
+#: Leading words of all themes that pairs of words are looked up in.
+LEADING_WORDS = 1000
 
 
 def term_counts(
@@ -40,13 +43,34 @@ def keyword_labels(
 ) -> DataFrame:
     """The most frequent terms of each theme as its label; later terms win ties.
 
-    The rank filter is pushed below the shuffle, so each task sends at most ``top`` terms per
-    theme whatever the size of the vocabulary.
+    A pair of words is at most as frequent as each of them. So single words are counted first, and
+    pairs only of words that are as frequent as the theme's ``top``-th: all others are behind. Where
+    so many words are as frequent that their list is long, all pairs are counted. The rank filter is
+    pushed below the shuffle, so each task sends at most ``top`` terms per theme.
     """
+    skipped = english_stop_words() if stop_words is None else stop_words
+    tokenized = texts.select("cluster_id", X.tokens(F.col(text_col), skipped).alias("tokens"))
+    singles = tokenized.select("cluster_id", F.explode("tokens").alias("term"))
+    singles = singles.groupBy("cluster_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    by_count = Window.partitionBy("cluster_id").orderBy(F.desc("n"))
+    leading = singles.withColumn("_r", F.rank().over(by_count)).where(F.col("_r") <= top).drop("_r")
+    leading = cut_lineage(leading)
+    if leading.count() <= LEADING_WORDS:
+        listed = leading.groupBy("cluster_id").agg(F.collect_list("term").alias("leading"))
+        # At most LEADING_WORDS words in all.
+        names = F.broadcast(listed.withColumnRenamed("cluster_id", "_c"))
+        known = tokenized.join(names, F.col("cluster_id").eqNullSafe(F.col("_c")))
+        pairs = F.transform(
+            X.neighbours(F.col("tokens")),
+            lambda p: F.when(F.array_contains("leading", p["a"]) & F.array_contains("leading", p["b"]), p),
+        )
+        kept = known.select("cluster_id", F.explode(F.array_compact(pairs)).alias("p"))
+        kept = kept.select("cluster_id", F.concat("p.a", F.lit(" "), "p.b").alias("term"))
+        counted = kept.groupBy("cluster_id", "term").agg(F.count(F.lit(1)).alias("n")).unionByName(leading)
+    else:
+        counted = term_counts(texts, text_col, skipped)
     order = Window.partitionBy("cluster_id").orderBy(F.desc("n"), F.desc("term"))
-    ranked = term_counts(texts, text_col, stop_words).withColumn(
-        "place", F.row_number().over(order)
-    )
+    ranked = counted.withColumn("place", F.row_number().over(order))
     best = (
         ranked.where(F.col("place") <= top)
         .groupBy("cluster_id")
