@@ -6,10 +6,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import clustering as L
 from tidemark.operators import density as D
 from tidemark.operators import neighbours as N
+from tidemark.session import LARGEST_ESTIMATE, cut_lineage, estimated_bytes
 
 
 def _points(spark, matrix):
@@ -193,3 +195,13 @@ def test_neighbour_graph_recall(spark):
         ids = [x["n"] for x in r["near"]]
         assert len(set(ids)) == len(ids) == 15 and r["id"] not in ids
         assert [(x["d"], x["n"]) for x in r["near"]] == sorted((x["d"], x["n"]) for x in r["near"])
+
+
+def test_estimated_size_does_not_grow_in_loops_of_joins(spark):
+    """A join multiplies the estimates of its sides: digits doubled with every round."""
+    state = cut_lineage(spark.range(20).select("id", (F.col("id") + 1).alias("root")))
+    for _ in range(8):
+        ahead = state.select(F.col("id").alias("root"), F.col("root").alias("next"))
+        state = cut_lineage(state.join(ahead, "root", "left").select("id", F.coalesce("next", "root").alias("root")))
+        assert estimated_bytes(state) <= LARGEST_ESTIMATE
+    assert sorted((r["id"], r["root"]) for r in state.collect()) == [(i, 20) for i in range(20)]
