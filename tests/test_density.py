@@ -205,3 +205,37 @@ def test_estimated_size_does_not_grow_in_loops_of_joins(spark):
         state = cut_lineage(state.join(ahead, "root", "left").select("id", F.coalesce("next", "root").alias("root")))
         assert estimated_bytes(state) <= LARGEST_ESTIMATE
     assert sorted((r["id"], r["root"]) for r in state.collect()) == [(i, 20) for i in range(20)]
+
+
+def test_no_row_per_query_and_cell(spark, monkeypatch):
+    """Lists with cells, blocks and ties: whole, though queries and vectors cross block borders."""
+    monkeypatch.setattr(N, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(3)
+    matrix = np.vstack([np.round(_groups(rng, [50, 40], 3, 1.0), 1) + 1e4, np.zeros((1, 3))])
+    placed, cells = N.dealt_to_cells(D.vertices(_points(spark, matrix), "v"), 3)
+    assert not hasattr(N, "visiting")
+    rows = placed.orderBy("id").collect()
+    vectors, ids = np.array([r["v"] for r in rows]), [r["id"] for r in rows]
+    got = {r["id"]: [(x["d"], x["n"]) for x in r["near"]] for r in N.nearest_neighbours(placed, cells, 5).collect()}
+    away = N.distances(vectors, vectors)
+    assert got == {ids[i]: sorted((away[i, j], n) for j, n in enumerate(ids) if j != i)[:5] for i in range(len(ids))}
+
+
+def test_chains_of_small_groups_are_contracted_together(spark, monkeypatch):
+    """A chain that ends at a dense group needs few rounds, and the groups are those of one process."""
+    rounds = []
+    monkeypatch.setattr(D, "_roots", lambda pointers, real=D._roots: rounds.append(1) or real(pointers))
+    edges = [(i, i + 1, 1.0 + i / 100) for i in range(40)] + [(40, 50, 9.0)] + [(i, i + 1, 2.0 + i / 100) for i in range(50, 60)]
+    nodes = spark.createDataFrame([(i, 1, 0.5) for i in [*range(41), *range(50, 61)]], "id bigint, weight bigint, core double")
+    tree = spark.createDataFrame(edges, "lo bigint, hi bigint, w double")
+
+    def found():
+        members, joins = D.dense_groups(nodes, tree, 5)
+        groups = {}
+        for r in members.collect():
+            groups.setdefault(r["comp"], set()).add((r["id"], r["left_at"]))
+        return sorted(sorted(g) for g in groups.values()), sorted(r["w"] for r in joins.collect())
+
+    want = found()
+    monkeypatch.setattr(D, "LOCAL_ROWS", 0)
+    assert found() == want and len(want[0]) == 2 and 0 < len(rounds) <= 6
