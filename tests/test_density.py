@@ -239,3 +239,6 @@ def test_chains_of_small_groups_are_contracted_together(spark, monkeypatch):
     want = found()
     monkeypatch.setattr(D, "LOCAL_ROWS", 0)
     assert found() == want and len(want[0]) == 2 and 0 < len(rounds) <= 6
+    # The last rounds in one process.
+    monkeypatch.setattr(D, "LOCAL_ROWS", 49)
+    assert found() == want
